@@ -17,21 +17,29 @@ from pyspark.sql import functions as F
 
 
 def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-              name: str = "pos", num_partitions: int | None = None) -> DataFrame:
+              name: str = "pos", num_partitions: int | None = None,
+              weight: str | None = None) -> DataFrame:
     """Add a 0-based ``name`` column: rank of each row inside its group.
 
-    ``order_cols`` must make rows unique inside a group (add the id).
+    ``order_cols`` must make rows unique inside a group (add the id).  With
+    ``weight`` (a count column of pre-aggregated rows) the result is the
+    weighted start rank: the sum of the weights of all earlier rows.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     ranged = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
-    counts = ranged.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    w = F.col(weight) if weight else F.lit(1)
+    counts = ranged.groupBy("_pid", *group_cols).agg(F.sum(w).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", *group_cols,
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_off"))
     local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
-    numbered = ranged.withColumn("_local", F.row_number().over(local) - 1)
+    if weight:
+        running = F.coalesce(F.sum(w).over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        numbered = ranged.withColumn("_local", running)
+    else:
+        numbered = ranged.withColumn("_local", F.row_number().over(local) - 1)
     # offsets has at most partitions x groups rows: broadcasting it is bounded
     out = numbered.join(F.broadcast(offsets), ["_pid", *group_cols])
     return out.withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_pid", "_off", "_local")

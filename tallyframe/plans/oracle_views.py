@@ -103,3 +103,43 @@ def with_views(sql: str, *names: str, extra: list[tuple[str, str]] | None = None
     if not ctes:
         return sql
     return "WITH " + ",\n".join(ctes) + "\n" + sql
+
+
+# --- number parsers (N1-N5) in DuckDB --------------------------------------
+
+def _low(c: str) -> str:
+    return f"lower({strip_sql(c)})"
+
+
+def n1_sql(c: str) -> str:
+    arr = f"regexp_extract_all({_low(c)}, '\\d+\\.\\d+|\\d+')"
+    return (f"(list_sum(list_transform({arr}, lambda x: CAST(x AS DOUBLE))) / nullif(len({arr}), 0))")
+
+
+def n2_sql(c: str) -> str:
+    seps = f"len(regexp_extract_all({_low(c)}, '[,-]'))"
+    words = f"len(regexp_extract_all({_low(c)}, '[\\p{{L}}\\p{{N}}_]+'))"
+    return (f"coalesce({n1_sql(c)}, CASE WHEN {seps} >= {words} - 1 AND {words} > 1 "
+            f"THEN CAST({words} AS DOUBLE) END)")
+
+
+def n3_sql(c: str) -> str:
+    ints = f"regexp_extract_all({c}, '\\d+')"
+    mean = f"(list_sum(list_transform({ints}, lambda x: CAST(x AS DOUBLE))) / nullif(len({ints}), 0))"
+    return (f"coalesce(CASE WHEN contains({c}, '-') OR contains({c}, 'to') THEN {mean} "
+            f"ELSE CAST({ints}[1] AS DOUBLE) END, 0.0)")
+
+
+def n4_sql(c: str) -> str:
+    first = f"regexp_extract({c}, '(\\d+)', 1)"
+    return f"(CASE WHEN {first} <> '' THEN CAST({first} AS DOUBLE) END)"
+
+
+def n5_sql(c: str) -> str:
+    return f"TRY_CAST(replace({c}, ',', '') AS DOUBLE)"
+
+
+def options_sql(c: str) -> str:
+    """Stripped, non-empty options of a comma list (NULL -> empty list)."""
+    return (f"list_filter(list_transform(string_split(coalesce({c}, ''), ','), "
+            f"lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '')")
