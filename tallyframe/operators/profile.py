@@ -7,7 +7,6 @@ values), ranked with the range-partitioned ``positions``, and only the rows
 that hold the needed ranks (groups x quantiles x 2, bounded) are joined.
 """
 
-from __future__ import annotations
 
 import math
 from collections.abc import Sequence
@@ -177,15 +176,15 @@ def anova_table(df: DataFrame, value_col: str, label_col: str) -> DataFrame:
     per = (df.where(x.isNotNull()).groupBy(label_col)
            .agg(F.count(x).alias("n"), F.avg(x).alias("m"), F.var_samp(x).alias("v")))
     allw = Window.partitionBy()
-    per = (per.withColumn("N", F.sum("n").over(allw))
-           .withColumn("K", F.count(F.lit(1)).over(allw))
-           .withColumn("gm", F.sum(F.col("n") * F.col("m")).over(allw) / F.col("N")))
-    out = per.agg(F.sum(F.col("n") * (F.col("m") - F.col("gm")) ** 2).alias("ssb"),
+    per = (per.withColumn("_nt", F.sum("n").over(allw))
+           .withColumn("_k", F.count(F.lit(1)).over(allw))
+           .withColumn("_gm", F.sum(F.col("n") * F.col("m")).over(allw) / F.col("_nt")))
+    out = per.agg(F.sum(F.col("n") * (F.col("m") - F.col("_gm")) ** 2).alias("ssb"),
                   F.sum(F.coalesce((F.col("n") - 1) * F.col("v"), F.lit(0.0))).alias("ssw"),
-                  F.first("N").alias("N"), F.first("K").alias("K"))
-    return out.select(((F.col("ssb") / (F.col("K") - 1)) / (F.col("ssw") / (F.col("N") - F.col("K")))).alias("f"),
-                      (F.col("K") - 1).cast("bigint").alias("df_between"),
-                      (F.col("N") - F.col("K")).cast("bigint").alias("df_within"))
+                  F.first("_nt").alias("_nt"), F.first("_k").alias("_k"))
+    return out.select(((F.col("ssb") / (F.col("_k") - 1)) / (F.col("ssw") / (F.col("_nt") - F.col("_k")))).alias("f"),
+                      (F.col("_k") - 1).cast("bigint").alias("df_between"),
+                      (F.col("_nt") - F.col("_k")).cast("bigint").alias("df_within"))
 
 
 # --- upper tail of the F distribution (regularised incomplete beta) ---------
