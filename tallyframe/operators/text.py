@@ -27,8 +27,8 @@ def token_table(df: DataFrame, id_col: str = "id", text_col: str = "text",
     arr = tokens(F.col(text_col))
     if distinct:
         arr = F.array_distinct(arr)
-    ex = F.explode_outer(arr) if outer else F.explode(arr)
-    return df.select(F.col(id_col).alias("id"), *keep, ex.alias("token"))
+    out = df.select(F.col(id_col).alias("id"), *keep, F.explode_outer(arr).alias("token"))
+    return out if outer else out.where(F.col("token").isNotNull())
 
 
 def vocabulary(tok: DataFrame, stop_words: Sequence[str] | None = None, min_count: int = 1) -> DataFrame:
@@ -77,13 +77,25 @@ def tfidf(df: DataFrame, idf_table: DataFrame, id_col: str = "id", text_col: str
     """``tf = count(word in row) / all words of the row`` (stop and
     unknown words count in the divisor) times idf; rows without words give
     no entries (all-zero row in dense form).  Output (id, token, value)."""
-    arr = tokens(F.col(text_col))
-    occ = (df.select(F.col(id_col).alias("id"), F.size(arr).alias("n_words"), F.explode(arr).alias("token"))
+    occ = (words_with_count(df, id_col, text_col)
            .groupBy("id", "token", "n_words").agg(F.count(F.lit(1)).alias("tc")))
     return (occ.join(idf_table.select("token", "idf"), "token")
             .select("id", "token", (F.col("tc") / F.col("n_words") * F.col("idf")).alias("value")))
 
 
+def words_with_count(df: DataFrame, id_col: str = "id", text_col: str = "text",
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """(id, *keep, n_words, token): one row per word occurrence plus the word
+    count of its row.  The token array is projected once before the explode
+    (referenced twice, so Catalyst keeps it), instead of re-running the regex
+    for every generated row."""
+    arrs = df.select(F.col(id_col).alias("id"), *keep, tokens(F.col(text_col)).alias("_arr"))
+    # explode_outer + a null filter: a plain explode makes Catalyst add a
+    # ``size(array) > 0`` filter that would run the regex a second time
+    ex = arrs.select("id", *keep, F.size("_arr").alias("n_words"), F.explode_outer("_arr").alias("token"))
+    return ex.where(F.col("token").isNotNull())
+
+
 def option_table(df: DataFrame, col: str, id_col: str = "id", keep: Sequence[str] = (),
                  sep: str = ",", distinct: bool = True) -> DataFrame:
     """C1/T5 building block: (id, option) for each stripped, non-empty option."""
