@@ -130,3 +130,106 @@ def present_table(df: DataFrame, y: Column | None = None, text_col: str = "text"
     src = df if y is None else df.withColumn("y", y)
     cols = keep + (["y"] if y is not None else [])
     return token_table(src, "id", text_col, keep=cols, distinct=True, outer=True)
+
+
+# --- grouped NB: one model per question (M4) --------------------------------
+
+def fit_grouped(present: DataFrame, labeled: DataFrame, classes: list[str], group: str,
+                a_class: float = 1.0, a: float = 1.0, b: float = 3.0, y_col: str = "y") -> NBModel:
+    """M1 for every value of ``group`` at once (e.g. one model per question).
+    ``present``: distinct (id, y, group, token).  Theta has the group column."""
+    k = len(classes)
+    nk = class_counts(labeled, k, y_col)
+    n = sum(nk)
+    prior = [(nk[i] + a_class) / (n + k * a_class) for i in range(k)]
+    counts = (present.where(F.col("token").isNotNull())
+              .groupBy(group, "token").agg(count_array(F.col(y_col), k).alias("n")))
+    denom = F.array(*[F.lit(float(nk[i] + a + b)) for i in range(k)])
+    theta = counts.select(group, "token", F.zip_with("n", denom, lambda c, d: (c + F.lit(a)) / d).alias("theta"))
+    return NBModel(classes, nk, prior, theta, a, b)
+
+
+def score_parts(present: DataFrame, model: NBModel, group: str, keep: list[str] | None = None,
+                with_prior: bool = False) -> DataFrame:
+    """Per-group log-likelihood parts: (id, group, *keep, part array[K]) with
+    ``part = sum_v ln(1-theta) + sum_{v in row} lo`` (no prior unless asked).
+    The per-group base sums are one small aggregate (groups x K)."""
+    keep = keep or []
+    k = model.k
+    th = model.theta
+    log1m = F.transform("theta", lambda t: F.log1p(-t))
+    rows = th.groupBy(group).agg(*[F.sum(F.get(log1m, i)).alias(f"s{i}") for i in range(k)]).collect()
+    base = {r[0]: [float(r[i + 1]) for i in range(k)] for r in rows}
+    lo = th.select(group, "token", F.transform("theta", lambda t: F.ln(t) - F.log1p(-t)).alias("lo"))
+    j = present.join(lo, [group, "token"], "left")
+    sums = [F.sum(F.coalesce(F.get(F.col("lo"), i), F.lit(0.0))) for i in range(k)]
+    agg = j.groupBy("id", group, *keep).agg(F.array(*sums).alias("_sum"))
+    zero = [0.0] * k
+    bmap = F.create_map(*[x for g, v in base.items() for x in (F.lit(g), F.array(*[F.lit(t) for t in v]))]) \
+        if base else None
+    bcol = F.coalesce(F.element_at(bmap, F.col(group)), F.array(*[F.lit(t) for t in zero])) if bmap is not None \
+        else F.array(*[F.lit(t) for t in zero])
+    prior = [math.log(p) if with_prior else 0.0 for p in model.prior]
+    pcol = F.array(*[F.lit(t) for t in prior])
+    part = F.zip_with(F.zip_with(bcol, "_sum", lambda x, y: x + y), pcol, lambda x, y: x + y)
+    return agg.select("id", group, *keep, part.alias("part"))
+
+
+# --- all candidates and all folds in one job (M20, M21) ----------------------
+
+def search(present: DataFrame, k: int, n_folds: int, candidates: list[tuple[float, float]],
+           a_class: float = 1.0, y_col: str = "y", fold_col: str = "fold") -> DataFrame:
+    """Held-out accuracy of every (candidate, fold).
+
+    ``present``: distinct (id, y, fold, token) with NULL token for rows
+    without words; fold in 0..n_folds-1.  Training counts of fold f are
+    ``total - fold_f`` (one pass over the words serves all folds); the
+    vocabulary of fold f is every word of its training part.  Output
+    (cand, fold, n, hits).
+    """
+    c_n = len(candidates)
+    y, fo = F.col(y_col), F.col(fold_col)
+    rows = present.select("id", y_col, fold_col).distinct()
+    nkf = {(r[0], r[1]): int(r[2]) for r in rows.groupBy(fold_col, y_col).count().collect()}
+    nk_tr = [[sum(nkf.get((g, i), 0) for g in range(n_folds) if g != f) for i in range(k)] for f in range(n_folds)]
+    # per token: counts by (fold, class) as one F*K array
+    cnt = (present.where(F.col("token").isNotNull()).groupBy("token")
+           .agg(F.array(*[F.sum(F.when((fo == f) & (y == i), 1).otherwise(0)).cast("bigint")
+                          for f in range(n_folds) for i in range(k)]).alias("c")))
+    fold_rows = []
+    for f in range(n_folds):
+        ntr = [sum(F.get(F.col("c"), g * k + i) for g in range(n_folds) if g != f) for i in range(k)]
+        fold_rows.append(F.struct(F.lit(f).alias(fold_col), F.array(*ntr).alias("ntr")))
+    per_fold = (cnt.select("token", F.explode(F.array(*fold_rows)).alias("r"))
+                .select("token", f"r.{fold_col}", "r.ntr")
+                .where(F.aggregate("ntr", F.lit(0).cast("bigint"), lambda acc, x: acc + x) > 0))
+    lo_cols, l1m_cols = [], []
+    for ci, (a, b) in enumerate(candidates):
+        den = F.element_at(F.array(*[F.array(*[F.lit(float(nk_tr[f][i] + a + b)) for i in range(k)])
+                                     for f in range(n_folds)]), fo + 1)
+        theta = F.zip_with("ntr", den, lambda c, d: (c + F.lit(float(a))) / d)
+        lo_cols.append(F.transform(theta, lambda t: F.ln(t) - F.log1p(-t)))
+        l1m_cols.append(F.transform(theta, lambda t: F.log1p(-t)))
+    tab = per_fold.select("token", fold_col, F.array(*lo_cols).alias("lo"), F.array(*l1m_cols).alias("l1m"))
+    base_rows = tab.groupBy(fold_col).agg(*[F.sum(F.get(F.get(F.col("l1m"), ci), i)).alias(f"b{ci}_{i}")
+                                            for ci in range(c_n) for i in range(k)]).collect()
+    base = {}
+    for r in base_rows:
+        f = r[0]
+        n_tr = sum(nk_tr[f])
+        for ci in range(c_n):
+            base[(f, ci)] = [math.log((nk_tr[f][i] + a_class) / (n_tr + k * a_class)) + float(r[1 + ci * k + i])
+                             for i in range(k)]
+    j = present.join(tab.select("token", fold_col, "lo"), ["token", fold_col], "left")
+    sums = [F.sum(F.coalesce(F.get(F.get(F.col("lo"), ci), i), F.lit(0.0))).alias(f"s{ci}_{i}")
+            for ci in range(c_n) for i in range(k)]
+    per_row = j.groupBy("id", y_col, fold_col).agg(*sums)
+    cand_structs = []
+    for ci in range(c_n):
+        bvec = F.element_at(F.array(*[F.array(*[F.lit(base.get((f, ci), [0.0] * k)[i]) for i in range(k)])
+                                      for f in range(n_folds)]), fo + 1)
+        s = F.zip_with(bvec, F.array(*[F.col(f"s{ci}_{i}") for i in range(k)]), lambda x, z: x + z)
+        cand_structs.append(F.struct(F.lit(ci).alias("cand"), (argmax(s) == y).cast("int").alias("hit")))
+    ex = per_row.select(fold_col, F.explode(F.array(*cand_structs)).alias("r"))
+    return (ex.groupBy("r.cand", fold_col)
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("r.hit").cast("bigint").alias("hits")))
