@@ -47,3 +47,20 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
 
 def group_sizes(df: DataFrame, group_cols: Sequence[str], name: str = "group_n") -> DataFrame:
     return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name))
+
+
+def running_max_before(df: DataFrame, order_cols: Sequence[str], value: str, name: str = "prev_max",
+                       num_partitions: int | None = None) -> DataFrame:
+    """W2 building block: max of ``value`` over all earlier rows (NULL for
+    the first row), without a single-partition window: per range partition
+    a local running max, plus the max of all earlier partitions (a table
+    with one row per partition)."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    pmax = ranged.groupBy("_pid").agg(F.max(value).alias("_pm"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pmax.select("_pid", F.max("_pm").over(before).alias("_om"))
+    local = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.withColumn("_lm", F.max(value).over(local)).join(F.broadcast(offsets), "_pid")
+    return out.withColumn(name, F.greatest("_lm", "_om")).drop("_pid", "_lm", "_om")
