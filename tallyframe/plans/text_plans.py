@@ -152,33 +152,45 @@ def q_transform_new_rows(spark, sf_dir):
 NUMS = ["complexity", "ingredients", "price"]
 _QORDER = "SELECT * FROM (VALUES " + ", ".join(
     f"('{q}', {i})" for i, q in enumerate(CATEGORY_QUESTIONS + TEXT_QUESTIONS)) + ") t(question, ord)"
-_FEAT_CTES = [
-    ("fnums", " UNION ALL ".join(
-        f"SELECT id, {i} AS feature, coalesce({n1_sql(q)}, (SELECT coalesce(avg({n1_sql(q)}), 1.0) FROM survey)) AS value "
-        f"FROM survey" for i, q in enumerate(NUMS))),
-    ("fopts", " UNION ALL ".join(
-        f"SELECT DISTINCT id, '{q}' AS question, unnest({options_sql(q)}) AS token FROM survey"
-        for q in CATEGORY_QUESTIONS)),
-    ("fwords", " UNION ALL ".join(
-        f"SELECT id, '{q}' AS question, unnest({words_sql(q)}) AS token FROM survey" for q in TEXT_QUESTIONS)),
-    ("fcdom", "SELECT question, token, row_number() OVER (PARTITION BY question ORDER BY token) - 1 AS idx "
-              "FROM (SELECT DISTINCT question, token FROM fopts)"),
-    ("ftdom", "SELECT question, token, row_number() OVER (PARTITION BY question ORDER BY token) - 1 AS idx FROM "
-              f"(SELECT question, token FROM fwords WHERE token NOT IN ({STOP_SQL}) GROUP BY question, token "
-              "HAVING count(*) >= 2)"),
-    ("fsizes", "SELECT question, count(*) AS n FROM (SELECT question FROM fcdom UNION ALL SELECT question FROM ftdom) "
-               "GROUP BY question"),
-    ("qorder", _QORDER),
-    ("foff", f"""SELECT q.question, 'cate' AS block, {len(NUMS)} + coalesce(sum(coalesce(s.n, 0)) OVER
-                 (ORDER BY q.ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
-                 FROM qorder q LEFT JOIN fsizes s ON q.question = s.question"""),
-    ("flayout", "SELECT 'num' AS block, question, NULL::VARCHAR AS token, CAST(ord AS BIGINT) AS feature FROM (VALUES "
-                + ", ".join(f"('{q}', {i})" for i, q in enumerate(NUMS)) + ") t(question, ord) "
-                "UNION ALL SELECT 'cate', d.question, d.token, CAST(o.off + d.idx AS BIGINT) FROM fcdom d "
-                "JOIN foff o ON d.question = o.question "
-                "UNION ALL SELECT 'text', d.question, d.token, CAST(o.off + d.idx AS BIGINT) FROM ftdom d "
-                "JOIN foff o ON d.question = o.question"),
-]
+def feat_ctes(train: str = "true") -> list[tuple[str, str]]:
+    """DuckDB text of the survey feature generator: parameters fitted on the
+    rows where ``train`` holds, every row encoded."""
+    return [
+        ("fnums", " UNION ALL ".join(
+            f"SELECT id, {i} AS feature, coalesce({n1_sql(q)}, (SELECT coalesce(avg({n1_sql(q)}), 1.0) FROM survey "
+            f"WHERE {train})) AS value FROM survey" for i, q in enumerate(NUMS))),
+        ("fopts", " UNION ALL ".join(
+            f"SELECT DISTINCT id, '{q}' AS question, unnest({options_sql(q)}) AS token FROM survey"
+            for q in CATEGORY_QUESTIONS)),
+        ("fwords", " UNION ALL ".join(
+            f"SELECT id, '{q}' AS question, unnest({words_sql(q)}) AS token FROM survey" for q in TEXT_QUESTIONS)),
+        ("ftrain", f"SELECT id FROM survey WHERE {train}"),
+        ("fcdom", "SELECT question, token, row_number() OVER (PARTITION BY question ORDER BY token) - 1 AS idx "
+                  "FROM (SELECT DISTINCT question, token FROM fopts WHERE id IN (SELECT id FROM ftrain))"),
+        ("ftdom", "SELECT question, token, row_number() OVER (PARTITION BY question ORDER BY token) - 1 AS idx FROM "
+                  f"(SELECT question, token FROM fwords WHERE token NOT IN ({STOP_SQL}) AND id IN (SELECT id FROM ftrain) "
+                  "GROUP BY question, token HAVING count(*) >= 2)"),
+        ("fsizes", "SELECT question, count(*) AS n FROM (SELECT question FROM fcdom UNION ALL SELECT question FROM ftdom) "
+                   "GROUP BY question"),
+        ("qorder", _QORDER),
+        ("foff", f"""SELECT q.question, 'cate' AS block, {len(NUMS)} + coalesce(sum(coalesce(s.n, 0)) OVER
+                     (ORDER BY q.ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+                     FROM qorder q LEFT JOIN fsizes s ON q.question = s.question"""),
+        ("flayout", "SELECT 'num' AS block, question, NULL::VARCHAR AS token, CAST(ord AS BIGINT) AS feature FROM (VALUES "
+                    + ", ".join(f"('{q}', {i})" for i, q in enumerate(NUMS)) + ") t(question, ord) "
+                    "UNION ALL SELECT 'cate', d.question, d.token, CAST(o.off + d.idx AS BIGINT) FROM fcdom d "
+                    "JOIN foff o ON d.question = o.question "
+                    "UNION ALL SELECT 'text', d.question, d.token, CAST(o.off + d.idx AS BIGINT) FROM ftdom d "
+                    "JOIN foff o ON d.question = o.question"),
+        ("flong", """SELECT id, CAST(feature AS BIGINT) AS feature, value FROM fnums
+                     UNION ALL SELECT o.id, l.feature, 1.0 FROM fopts o JOIN flayout l
+                               ON l.block = 'cate' AND o.question = l.question AND o.token = l.token
+                     UNION ALL SELECT w.id, l.feature, 1.0 FROM (SELECT DISTINCT id, question, token FROM fwords) w
+                               JOIN flayout l ON l.block = 'text' AND w.question = l.question AND w.token = l.token"""),
+    ]
+
+
+_FEAT_CTES = feat_ctes()
 
 
 def _survey_gen():
@@ -192,13 +204,8 @@ def q_feature_layout(spark, sf_dir):
     return _survey_gen().fit(views.survey(spark, sf_dir)).layout()
 
 
-@register("feature_long", with_views(
-    """SELECT id, CAST(feature AS BIGINT) AS feature, round(value, 6) AS value FROM fnums
-       UNION ALL SELECT o.id, l.feature, 1.0 FROM fopts o JOIN flayout l
-                 ON l.block = 'cate' AND o.question = l.question AND o.token = l.token
-       UNION ALL SELECT w.id, l.feature, 1.0 FROM (SELECT DISTINCT id, question, token FROM fwords) w JOIN flayout l
-                 ON l.block = 'text' AND w.question = l.question AND w.token = l.token""",
-    "survey", extra=_FEAT_CTES))
+@register("feature_long", with_views("SELECT id, feature, round(value, 6) AS value FROM flong", "survey",
+                                     extra=_FEAT_CTES))
 def q_feature_long(spark, sf_dir):
     """The whole survey as one sparse (id, feature, value) table."""
     s = views.survey(spark, sf_dir)
