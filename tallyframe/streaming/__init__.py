@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream source, watermark, window or state, so nothing
+is built here.  Batch scoring (``plans.model_plans.q_predict_all``) has no
+cross-row state apart from sums by row id, so a caller who needs it on a
+stream can run the same DataFrame function inside ``foreachBatch``.
+"""
