@@ -178,30 +178,32 @@ def score_parts(present: DataFrame, model: NBModel, group: str, keep: list[str]
 # --- all candidates and all folds in one job (M20, M21) ----------------------
 
 def search(present: DataFrame, k: int, n_folds: int, candidates: list[tuple[float, float]],
-           a_class: float = 1.0, y_col: str = "y", fold_col: str = "fold") -> DataFrame:
-    """Held-out accuracy of every (candidate, fold).
+           a_class: float = 1.0, y_col: str = "y", fold_col: str = "fold", group: str | None = None) -> DataFrame:
+    """Held-out accuracy of every (candidate, fold) [and group].
 
-    ``present``: distinct (id, y, fold, token) with NULL token for rows
-    without words; fold in 0..n_folds-1.  Training counts of fold f are
+    ``present``: distinct (id, y, fold[, group], token) with NULL token for
+    rows without words; fold in 0..n_folds-1.  Training counts of fold f are
     ``total - fold_f`` (one pass over the words serves all folds); the
-    vocabulary of fold f is every word of its training part.  Output
-    (cand, fold, n, hits).
+    vocabulary of fold f is every word of its training part.  With ``group``
+    (e.g. question x representation) every group is an independent model
+    over the same rows, all in the same job.  Output ([group,] cand, fold, n, hits).
     """
+    g = [group] if group else []
     c_n = len(candidates)
     y, fo = F.col(y_col), F.col(fold_col)
     rows = present.select("id", y_col, fold_col).distinct()
     nkf = {(r[0], r[1]): int(r[2]) for r in rows.groupBy(fold_col, y_col).count().collect()}
-    nk_tr = [[sum(nkf.get((g, i), 0) for g in range(n_folds) if g != f) for i in range(k)] for f in range(n_folds)]
+    nk_tr = [[sum(nkf.get((h, i), 0) for h in range(n_folds) if h != f) for i in range(k)] for f in range(n_folds)]
     # per token: counts by (fold, class) as one F*K array
-    cnt = (present.where(F.col("token").isNotNull()).groupBy("token")
+    cnt = (present.where(F.col("token").isNotNull()).groupBy(*g, "token")
            .agg(F.array(*[F.sum(F.when((fo == f) & (y == i), 1).otherwise(0)).cast("bigint")
                           for f in range(n_folds) for i in range(k)]).alias("c")))
     fold_rows = []
     for f in range(n_folds):
-        ntr = [sum(F.get(F.col("c"), g * k + i) for g in range(n_folds) if g != f) for i in range(k)]
+        ntr = [sum(F.get(F.col("c"), h * k + i) for h in range(n_folds) if h != f) for i in range(k)]
         fold_rows.append(F.struct(F.lit(f).alias(fold_col), F.array(*ntr).alias("ntr")))
-    per_fold = (cnt.select("token", F.explode(F.array(*fold_rows)).alias("r"))
-                .select("token", f"r.{fold_col}", "r.ntr")
+    per_fold = (cnt.select(*g, "token", F.explode(F.array(*fold_rows)).alias("r"))
+                .select(*g, "token", f"r.{fold_col}", "r.ntr")
                 .where(F.aggregate("ntr", F.lit(0).cast("bigint"), lambda acc, x: acc + x) > 0))
     lo_cols, l1m_cols = [], []
     for ci, (a, b) in enumerate(candidates):
@@ -210,26 +212,34 @@ def search(present: DataFrame, k: int, n_folds: int, candidates: list[tuple[floa
         theta = F.zip_with("ntr", den, lambda c, d: (c + F.lit(float(a))) / d)
         lo_cols.append(F.transform(theta, lambda t: F.ln(t) - F.log1p(-t)))
         l1m_cols.append(F.transform(theta, lambda t: F.log1p(-t)))
-    tab = per_fold.select("token", fold_col, F.array(*lo_cols).alias("lo"), F.array(*l1m_cols).alias("l1m"))
-    base_rows = tab.groupBy(fold_col).agg(*[F.sum(F.get(F.get(F.col("l1m"), ci), i)).alias(f"b{ci}_{i}")
-                                            for ci in range(c_n) for i in range(k)]).collect()
+    tab = per_fold.select(*g, "token", fold_col, F.array(*lo_cols).alias("lo"), F.array(*l1m_cols).alias("l1m"))
+    # base sums: one small aggregate (groups x folds rows of C x K numbers)
+    base_rows = tab.groupBy(*g, fold_col).agg(*[F.sum(F.get(F.get(F.col("l1m"), ci), i)).alias(f"b{ci}_{i}")
+                                                for ci in range(c_n) for i in range(k)]).collect()
+    off = len(g)
     base = {}
     for r in base_rows:
-        f = r[0]
+        gv = r[0] if g else ""
+        f = r[off]
         n_tr = sum(nk_tr[f])
         for ci in range(c_n):
-            base[(f, ci)] = [math.log((nk_tr[f][i] + a_class) / (n_tr + k * a_class)) + float(r[1 + ci * k + i])
-                             for i in range(k)]
-    j = present.join(tab.select("token", fold_col, "lo"), ["token", fold_col], "left")
+            base[(gv, f, ci)] = [math.log((nk_tr[f][i] + a_class) / (n_tr + k * a_class))
+                                 + float(r[off + 1 + ci * k + i]) for i in range(k)]
+    prior_only = {f: [math.log((nk_tr[f][i] + a_class) / (sum(nk_tr[f]) + k * a_class)) for i in range(k)]
+                  for f in range(n_folds)}
+    j = present.join(tab.select(*g, "token", fold_col, "lo"), [*g, "token", fold_col], "left")
     sums = [F.sum(F.coalesce(F.get(F.get(F.col("lo"), ci), i), F.lit(0.0))).alias(f"s{ci}_{i}")
             for ci in range(c_n) for i in range(k)]
-    per_row = j.groupBy("id", y_col, fold_col).agg(*sums)
+    per_row = j.groupBy("id", y_col, fold_col, *g).agg(*sums)
+    key = F.concat_ws("\u0001", F.col(group).cast("string") if g else F.lit(""), fo.cast("string"))
     cand_structs = []
     for ci in range(c_n):
-        bvec = F.element_at(F.array(*[F.array(*[F.lit(base.get((f, ci), [0.0] * k)[i]) for i in range(k)])
-                                      for f in range(n_folds)]), fo + 1)
+        bmap = F.create_map(*[x for (gv, f, cj), v in base.items() if cj == ci
+                              for x in (F.lit(f"{gv}\u0001{f}"), F.array(*[F.lit(t) for t in v]))])
+        fallback = F.element_at(F.array(*[F.array(*[F.lit(t) for t in prior_only[f]]) for f in range(n_folds)]), fo + 1)
+        bvec = F.coalesce(F.element_at(bmap, key), fallback) if base else fallback
         s = F.zip_with(bvec, F.array(*[F.col(f"s{ci}_{i}") for i in range(k)]), lambda x, z: x + z)
         cand_structs.append(F.struct(F.lit(ci).alias("cand"), (argmax(s) == y).cast("int").alias("hit")))
-    ex = per_row.select(fold_col, F.explode(F.array(*cand_structs)).alias("r"))
-    return (ex.groupBy("r.cand", fold_col)
+    ex = per_row.select(*g, fold_col, F.explode(F.array(*cand_structs)).alias("r"))
+    return (ex.groupBy(*g, "r.cand", fold_col)
             .agg(F.count(F.lit(1)).alias("n"), F.sum("r.hit").cast("bigint").alias("hits")))
