@@ -49,17 +49,23 @@ def label_index_table(df: DataFrame, label_col: str = "label") -> DataFrame:
     return positions(d, ["label"], name="label_idx").withColumn("label_idx", F.col("label_idx").cast("int"))
 
 
-def label_encode(df: DataFrame, cols: list[str], fill: str = "0") -> DataFrame:
-    """C4: fill missing with ``fill``, then index each column's value in its
-    sorted distinct values.  Value tables can be large (free text), so the
-    index is built with ``positions`` and joined back (shuffle join)."""
-    out = df
-    for c in cols:
-        filled = F.coalesce(F.col(c).cast("string"), F.lit(fill))
-        out = out.withColumn(c, filled)
-        dom = positions(out.select(F.col(c).alias("_v")).distinct(), ["_v"], name="_code")
-        out = out.join(dom, out[c] == dom["_v"]).drop(c, "_v").withColumnRenamed("_code", c)
-    return out
+def label_encode(df: DataFrame, cols: list[str], fill: str = "0", id_col: str = "id") -> DataFrame:
+    """C4: fill missing with ``fill``, then replace each value by its index in
+    the column's sorted distinct values.
+
+    All columns are handled in one pass: the (column, value) pairs are
+    stacked, their distinct values ranked per column with ``positions``
+    (value domains can be large, e.g. free text), joined back on
+    (column, value) and pivoted to one row per id again.  ``id_col`` must be
+    unique; other columns are kept."""
+    rest = [c for c in df.columns if c not in cols]
+    stacked = df.select(F.col(id_col).alias("_id"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_c"), F.coalesce(F.col(c).cast("string"), F.lit(fill)).alias("_v")) for c in cols]))
+        .alias("_s")).select("_id", "_s._c", "_s._v")
+    dom = positions(stacked.select("_c", "_v").distinct(), ["_v"], ["_c"], name="_code")
+    coded = stacked.join(dom, ["_c", "_v"])
+    wide = coded.groupBy("_id").agg(*[F.max(F.when(F.col("_c") == c, F.col("_code"))).alias(c) for c in cols])
+    return df.select(*rest).join(wide, df[id_col] == wide["_id"]).drop("_id")
 
 
 def one_hot_label(df: DataFrame, classes: list[str], label_col: str = "label",
