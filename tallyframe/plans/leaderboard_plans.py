@@ -73,3 +73,54 @@ def leaderboard(spark, sf_dir, candidates=CANDIDATES, n_folds: int = 5):
 def q_leaderboard(spark, sf_dir):
     """One result row per question x representation (24 rows)."""
     return leaderboard(spark, sf_dir)
+
+
+ROLE_QUESTIONS = ["complexity", "ingredients", "price"]
+
+
+@register("role_assignment_search")
+def q_role_assignment_search(spark, sf_dir):
+    """Every assignment of a role (num / text / both) to each
+    number-like question; a candidate's NB score is the prior plus the parts
+    of its chosen cells (``q/numerical`` for num, ``q/text`` for text, both
+    for both).  Parts are computed once per row and cell; candidates are a
+    bounded fan-out of each row, then one aggregate by candidate."""
+    import math
+    from tallyframe.operators.search import role_candidates
+    s = views.survey(spark, sf_dir)
+    classes = class_list(s)
+    k = len(classes)
+    cell_names = [f"{q}/{r}" for q in ROLE_QUESTIONS for r in ("numerical", "text")]
+    cidx = {c: i for i, c in enumerate(cell_names)}
+    base = s.select("id", *ROLE_QUESTIONS, index_of("label", classes).alias("y"), md5_bucket("id").alias("bucket"))
+    cells = F.array(*[F.struct(F.lit(c).alias("cell"), F.array_distinct(representation_tokens(*c.split("/"))).alias("t"))
+                      for c in cell_names])
+    long = base.select("id", "y", "bucket", F.explode(cells).alias("c")).select(
+        "id", "y", "bucket", "c.cell", F.explode_outer("c.t").alias("token"))
+    train = F.col("bucket") < 8000
+    labeled = base.where(train).select("id", "y")
+    model = nb.fit_grouped(long.where(train), labeled, classes, "cell", a=1.0, b=1.0)
+    parts = nb.score_parts(long.where(~train), model, "cell", keep=["y"])
+    cmap = F.create_map(*[x for c, i in cidx.items() for x in (F.lit(c), F.lit(i))])
+    per_id = parts.groupBy("id", "y").agg(F.map_from_entries(F.collect_list(
+        F.struct(F.element_at(cmap, F.col("cell")), F.col("part")))).alias("pm"))
+    cands = role_candidates(ROLE_QUESTIONS)
+    cand_struct = F.array(*[F.struct(F.lit(i).alias("cand"),
+                                     F.array(*[F.lit(cidx[f"{q}/numerical"]) for q in c["num"]],
+                                             *[F.lit(cidx[f"{q}/text"]) for q in c["text"]]).cast("array<int>")
+                                     .alias("cells")) for i, c in enumerate(cands)])
+    logpi = F.array(*[F.lit(math.log(p)) for p in model.prior])
+    zero = F.array(*[F.lit(0.0)] * k)
+    ex = per_id.select("y", "pm", F.explode(cand_struct).alias("c"))
+    score = F.aggregate(F.col("c.cells"), logpi,
+                        lambda acc, ci: F.zip_with(acc, F.coalesce(F.element_at(F.col("pm"), ci), zero),
+                                                   lambda u, v: u + v))
+    hit = (nb.argmax(score) == F.col("y")).cast("double")
+    acc = ex.select(F.col("c.cand").alias("cand"), hit.alias("hit")).groupBy("cand").agg(
+        F.count(F.lit(1)).alias("n_test"), round6(F.avg("hit")).alias("accuracy"))
+    roles = spark.createDataFrame(
+        [(i, *[("both" if q in c["num"] and q in c["text"] else "num" if q in c["num"] else "text")
+               for q in ROLE_QUESTIONS]) for i, c in enumerate(cands)],
+        "cand int, " + ", ".join(f"{q}_role string" for q in ROLE_QUESTIONS))
+    # candidate table: 3^n rows, bounded by the question count
+    return acc.join(F.broadcast(roles), "cand")
