@@ -74,7 +74,8 @@ def fit(present: DataFrame, labeled: DataFrame, classes: list[str], a_class: flo
                   .select("token", F.coalesce("n", zeros).alias("n")))
     denom = F.array(*[F.lit(float(nk[i] + a + b)) for i in range(k)])
     theta = counts.select("token", F.zip_with("n", denom, lambda c, d: (c + F.lit(a)) / d).alias("theta"))
-    return NBModel(classes, nk, prior, theta, a, b)
+    # read twice (base sums, scoring join); recomputable from its lineage if lost
+    return NBModel(classes, nk, prior, theta.persist(), a, b)
 
 
 def log_odds_table(model: NBModel) -> tuple[DataFrame, list[float]]:
@@ -146,7 +147,7 @@ def fit_grouped(present: DataFrame, labeled: DataFrame, classes: list[str], grou
               .groupBy(group, "token").agg(count_array(F.col(y_col), k).alias("n")))
     denom = F.array(*[F.lit(float(nk[i] + a + b)) for i in range(k)])
     theta = counts.select(group, "token", F.zip_with("n", denom, lambda c, d: (c + F.lit(a)) / d).alias("theta"))
-    return NBModel(classes, nk, prior, theta, a, b)
+    return NBModel(classes, nk, prior, theta.persist(), a, b)
 
 
 def score_parts(present: DataFrame, model: NBModel, group: str, keep: list[str] | None = None,
@@ -178,7 +179,8 @@ def score_parts(present: DataFrame, model: NBModel, group: str, keep: list[str]
 # --- all candidates and all folds in one job (M20, M21) ----------------------
 
 def search(present: DataFrame, k: int, n_folds: int, candidates: list[tuple[float, float]],
-           a_class: float = 1.0, y_col: str = "y", fold_col: str = "fold", group: str | None = None) -> DataFrame:
+           a_class: float = 1.0, y_col: str = "y", fold_col: str = "fold", group: str | None = None,
+           rows: DataFrame | None = None) -> DataFrame:
     """Held-out accuracy of every (candidate, fold) [and group].
 
     ``present``: distinct (id, y, fold[, group], token) with NULL token for
@@ -186,12 +188,15 @@ def search(present: DataFrame, k: int, n_folds: int, candidates: list[tuple[floa
     ``total - fold_f`` (one pass over the words serves all folds); the
     vocabulary of fold f is every word of its training part.  With ``group``
     (e.g. question x representation) every group is an independent model
-    over the same rows, all in the same job.  Output ([group,] cand, fold, n, hits).
+    over the same rows, all in the same job.  ``rows`` (id, y, fold), when
+    given, supplies the class counts without touching the token table.
+    Output ([group,] cand, fold, n, hits).
     """
     g = [group] if group else []
     c_n = len(candidates)
     y, fo = F.col(y_col), F.col(fold_col)
-    rows = present.select("id", y_col, fold_col).distinct()
+    if rows is None:
+        rows = present.select("id", y_col, fold_col).distinct()
     nkf = {(r[0], r[1]): int(r[2]) for r in rows.groupBy(fold_col, y_col).count().collect()}
     nk_tr = [[sum(nkf.get((h, i), 0) for h in range(n_folds) if h != f) for i in range(k)] for f in range(n_folds)]
     # per token: counts by (fold, class) as one F*K array
@@ -213,6 +218,7 @@ def search(present: DataFrame, k: int, n_folds: int, candidates: list[tuple[floa
         lo_cols.append(F.transform(theta, lambda t: F.ln(t) - F.log1p(-t)))
         l1m_cols.append(F.transform(theta, lambda t: F.log1p(-t)))
     tab = per_fold.select(*g, "token", fold_col, F.array(*lo_cols).alias("lo"), F.array(*l1m_cols).alias("l1m"))
+    tab = tab.persist()  # read by the base-sum aggregate and by the scoring join
     # base sums: one small aggregate (groups x folds rows of C x K numbers)
     base_rows = tab.groupBy(*g, fold_col).agg(*[F.sum(F.get(F.get(F.col("l1m"), ci), i)).alias(f"b{ci}_{i}")
                                                 for ci in range(c_n) for i in range(k)]).collect()

@@ -95,8 +95,9 @@ _CV_SQL = with_views(
 def q_nb_cv_search(spark, sf_dir):
     """Every (a, b) candidate x 5 folds of the training split in one job."""
     classes, rows = _docs_rows(spark, sf_dir)
-    present = _present(rows.where(F.col("bucket") < 8000), F.col("cvfold"))
-    acc = nb.search(present, len(classes), 5, CANDIDATES)
+    tr = rows.where(F.col("bucket") < 8000)
+    present = _present(tr, F.col("cvfold"))
+    acc = nb.search(present, len(classes), 5, CANDIDATES, rows=tr.select("id", "y", F.col("cvfold").alias("fold")))
     per = acc.groupBy("cand").agg(round6(F.avg(F.col("hits") / F.col("n"))).alias("cv_accuracy"))
     # the candidate table is a bounded parameter list
     return per.join(F.broadcast(_cands_df(spark, CANDIDATES)), "cand").select("cand", "a", "b", "cv_accuracy")
@@ -112,8 +113,10 @@ _HO_SQL = with_views(
 def q_nb_holdout_search(spark, sf_dir):
     """M20 on one hold-out split: accuracy of each candidate on the test rows."""
     classes, rows = _docs_rows(spark, sf_dir)
-    present = _present(rows, F.when(F.col("bucket") >= 8000, 0).otherwise(1))
-    acc = nb.search(present, len(classes), 2, CANDIDATES).where(F.col("fold") == 0)
+    fold = F.when(F.col("bucket") >= 8000, 0).otherwise(1)
+    present = _present(rows, fold)
+    acc = nb.search(present, len(classes), 2, CANDIDATES,
+                    rows=rows.select("id", "y", fold.alias("fold"))).where(F.col("fold") == 0)
     out = acc.select("cand", round6(F.col("hits") / F.col("n")).alias("accuracy"))
     return out.join(F.broadcast(_cands_df(spark, CANDIDATES)), "cand").select("cand", "a", "b", "accuracy")
 
@@ -128,7 +131,7 @@ def q_nb_kfold_scores(spark, sf_dir):
     """5-fold accuracy of NB (a=1, b=3); vocabulary refit in every fold."""
     classes, rows = _docs_rows(spark, sf_dir)
     present = _present(rows, F.col("cvfold"))
-    acc = nb.search(present, len(classes), 5, [(1.0, 3.0)])
+    acc = nb.search(present, len(classes), 5, [(1.0, 3.0)], rows=rows.select("id", "y", F.col("cvfold").alias("fold")))
     return acc.select("fold", "n", round6(F.col("hits") / F.col("n")).alias("accuracy"))
 
 
