@@ -156,16 +156,9 @@ _PIVOT_SQL = with_views(
 
 @register("leaderboard_pivot", _PIVOT_SQL)
 def q_leaderboard_pivot(spark, sf_dir):
-    """A11 + U1: mean score by (feature, feature_type) x model.  The result
-    tables of the models are appended (UNION ALL) before the pivot, as the
-    leaderboard is built from one result list per model."""
+    """Mean score by (feature, feature_type) x model, one scan and one
+    aggregate (the pivot values are given, so no extra job computes them
+    from the data and the output schema is fixed)."""
     s = views.scores(spark, sf_dir)
-    models = [r[0] for r in s.select("model").distinct().orderBy("model").limit(1001).collect()]
-    if len(models) > 1000:
-        raise ValueError("too many models for a pivot")
-    parts = [s.where(F.col("model") == m) for m in models]
-    appended = parts[0]
-    for p in parts[1:]:
-        appended = appended.unionByName(p)
-    pv = profile.pivot_mean(appended, ["feature", "feature_type"], "model", models, "score")
-    return pv.select("feature", "feature_type", *[round6(m).alias(m) for m in models])
+    pv = profile.pivot_mean(s, ["feature", "feature_type"], "model", MODELS, "score")
+    return pv.select("feature", "feature_type", *[round6(m).alias(m) for m in MODELS])
