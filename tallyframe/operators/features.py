@@ -138,8 +138,12 @@ class FeatureGenerator:
 
     def fit(self, df: DataFrame, id_col: str = "id") -> FeatureModel:
         spark = df.sparkSession
-        impute = (clean.impute_fit(df, self.num_cols, num_mean, self.impute_default) if self.num_cols
-                  else spark.createDataFrame([], "question string, impute_value double"))
+        # one small aggregate; the values (one per number question) become a
+        # literal parameter table so no later step re-runs the aggregate
+        fitted = (clean.impute_fit(df, self.num_cols, num_mean, self.impute_default).collect()
+                  if self.num_cols else [])
+        impute = spark.createDataFrame([(r["question"], float(r["impute_value"])) for r in fitted],
+                                       "question string, impute_value double")
         blocks = []
         if self.cate_cols:
             dom = option_long(df, self.cate_cols, id_col).select("question", F.col("option").alias("token")).distinct()

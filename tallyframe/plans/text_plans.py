@@ -208,6 +208,6 @@ def q_feature_layout(spark, sf_dir):
                                      extra=_FEAT_CTES))
 def q_feature_long(spark, sf_dir):
     """The whole survey as one sparse (id, feature, value) table."""
-    s = views.survey(spark, sf_dir)
+    s = views.survey(spark, sf_dir).persist()  # read by the fit and by the encoder
     m = _survey_gen().fit(s)
     return m.transform(s).select("id", "feature", round6("value").alias("value"))
