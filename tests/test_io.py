@@ -51,3 +51,19 @@ def test_theta_sink_partitions(spark):
     params.write_theta(df, path)
     r = params.read_table(spark, path, "Q3").first()
     assert r["theta"] == 0.1234568
+
+
+def test_pipeline_save_load_predicts_like_mllib(spark):
+    from tallyframe.operators.pipeline import ScoringPipeline, from_mllib
+    from tallyframe.plans.model_plans import pipeline_fit, survey_data
+    d = survey_data(spark, SF_SMALL)
+    k, comps, m, pv, _ = pipeline_fit(d)
+    pipe = from_mllib(d.model, comps, k, m, d.classes)
+    path = _tmp()
+    pipe.save(path)
+    loaded = ScoringPipeline.load(spark, path)
+    s = views.survey(spark, SF_SMALL)
+    mine = loaded.predict(s).select("id", "pred")
+    lib = m.transform(pv).select("id", F.col("prediction").cast("int").alias("pred"))
+    assert mine.count() == lib.count()
+    assert mine.exceptAll(lib).count() == 0
