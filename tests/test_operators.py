@@ -138,3 +138,20 @@ def test_svd_choose_k_clamps():
     r = SVDResult(np.ones(3), np.eye(3), np.array([0.2, 0.2, 0.2]), 10)
     assert r.choose_k(0.99) == 3
     assert r.choose_k(0.3) == 2
+
+
+def test_positions_with_a_hot_group(spark):
+    # one group holds 80 % of the rows and spans several range partitions
+    df = spark.range(0, 6000).select("id", F.when(F.col("id") % 5 == 0, F.lit(1)).otherwise(F.lit(0)).alias("g"))
+    got = positions(df, ["id"], ["g"], name="p", num_partitions=6).collect()
+    for g in (0, 1):
+        ps = sorted((r["id"], r["p"]) for r in got if r["g"] == g)
+        assert [p for _, p in ps] == list(range(len(ps)))
+
+
+def test_quantiles_with_a_hot_value(spark):
+    vals = [7.0] * 2000 + [float(i) for i in range(1000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    q = {r["q"]: r["value"] for r in profile.exact_quantiles(df, "x", [0.1, 0.5, 0.9]).collect()}
+    for p in (0.1, 0.5, 0.9):
+        assert q[p] == pytest.approx(np.percentile(vals, p * 100))
