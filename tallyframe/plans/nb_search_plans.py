@@ -173,7 +173,7 @@ def _grouped_sql(questions, a=1.0, b=3.0, a_class=1.0):
         ("lo", "SELECT question, token, y, ln(theta) - ln(1 - theta) AS lo FROM theta"),
         ("qs", "SELECT * FROM (VALUES " + ", ".join(f"('{q}', {i})" for i, q in enumerate(questions)) + ") t(question, qi)"),
         ("rowsq", "SELECT sy.id, sy.y AS truth, sy.bucket, qs.question, qs.qi FROM sy CROSS JOIN qs"),
-        ("part", """SELECT r.id, r.truth, r.bucket, r.question, r.qi, c.y, coalesce(qb.base, 0) + coalesce(sum(lo.lo), 0) AS part
+        ("qpart", """SELECT r.id, r.truth, r.bucket, r.question, r.qi, c.y, coalesce(qb.base, 0) + coalesce(sum(lo.lo), 0) AS part
                     FROM rowsq r CROSS JOIN cls c
                     LEFT JOIN qbase qb ON qb.question = r.question AND qb.y = c.y
                     LEFT JOIN pres p ON p.id = r.id AND p.question = r.question
@@ -184,9 +184,9 @@ def _grouped_sql(questions, a=1.0, b=3.0, a_class=1.0):
 
 _STACK_SQL = with_views("""
 SELECT id, question, label, round(exp(s - m) / sum(exp(s - m)) OVER (PARTITION BY id, question), 6) AS prob
-FROM (SELECT part.id, part.question, cls.label, part.part + ln(prior.pi) AS s,
-             max(part.part + ln(prior.pi)) OVER (PARTITION BY part.id, part.question) AS m
-      FROM part JOIN prior ON part.y = prior.y JOIN cls ON part.y = cls.y)""", "survey", extra=_grouped_sql(STACKED))
+FROM (SELECT qp.id, qp.question, cls.label, qp.part + ln(prior.pi) AS s,
+             max(qp.part + ln(prior.pi)) OVER (PARTITION BY qp.id, qp.question) AS m
+      FROM qpart qp JOIN prior ON qp.y = prior.y JOIN cls ON qp.y = cls.y)""", "survey", extra=_grouped_sql(STACKED))
 
 
 @register("nb_stacked", _STACK_SQL)
@@ -202,11 +202,11 @@ def q_nb_stacked(spark, sf_dir):
 _SUBSET_SQL = with_views("""
 SELECT mask, count(*) AS n, round(avg(CASE WHEN pred = truth THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM (
   SELECT id, truth, mask, y AS pred, row_number() OVER (PARTITION BY id, mask ORDER BY s DESC, y) AS rn FROM (
-    SELECT part.id, part.truth, m.mask, part.y, ln(prior.pi) + sum(part.part) AS s
-    FROM part JOIN prior ON part.y = prior.y
-    JOIN masks m ON (m.mask >> part.qi) & 1 = 1
-    WHERE part.bucket >= 8000
-    GROUP BY part.id, part.truth, m.mask, part.y, prior.pi))
+    SELECT qp.id, qp.truth, m.mask, qp.y, ln(prior.pi) + sum(qp.part) AS s
+    FROM qpart qp JOIN prior ON qp.y = prior.y
+    JOIN masks m ON (m.mask >> qp.qi) & 1 = 1
+    WHERE qp.bucket >= 8000
+    GROUP BY qp.id, qp.truth, m.mask, qp.y, prior.pi))
 WHERE rn = 1 GROUP BY mask""", "survey", extra=_grouped_sql(QUESTIONS) + [
     ("masks", f"SELECT CAST(range AS BIGINT) AS mask FROM range(1, {2 ** len(QUESTIONS)})")])
 
