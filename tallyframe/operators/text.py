@@ -106,3 +106,22 @@ def option_table(df: DataFrame, col: str, id_col: str = "id", keep: Sequence[str
 
 
 DEFAULT_STOP_WORDS = STOP_WORDS
+
+
+def tfidf_fit_transform(df: DataFrame, stop_words: Sequence[str] | None = STOP_WORDS, min_count: int = 2,
+                        id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """T3 + T8-T10 in one tokenisation pass: the per-row term counts
+    ``(id, token, n_words, tc)`` feed the vocabulary (sum of tc = total
+    count), the document frequency (rows per token) and the term
+    frequencies; the table is persisted because all three read it.
+    Output (id, token, value)."""
+    n_rows = df.count()
+    tc = (words_with_count(df, id_col, text_col)
+          .groupBy("id", "token", "n_words").agg(F.count(F.lit(1)).alias("tc"))).persist()
+    v = tc.groupBy("token").agg(F.sum("tc").alias("cnt"), F.count(F.lit(1)).alias("df"))
+    if stop_words:
+        v = v.where(~F.col("token").isin(list(stop_words)))
+    if min_count > 1:
+        v = v.where(F.col("cnt") >= min_count)
+    idf_t = v.select("token", F.ln(F.lit(float(n_rows)) / (1 + F.col("df"))).alias("idf"))
+    return tc.join(idf_t, "token").select("id", "token", (F.col("tc") / F.col("n_words") * F.col("idf")).alias("value"))

@@ -33,7 +33,7 @@ def q_best_candidate(spark, sf_dir):
 
 
 _CUM_SQL = with_views("""
-SELECT min(rk) AS k, any_value(total) AS total FROM (
+SELECT min(rk) AS k, CAST(any_value(total) AS BIGINT) AS total FROM (
   SELECT row_number() OVER (ORDER BY cnt DESC, token) AS rk,
          sum(cnt) OVER (ORDER BY cnt DESC, token ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum,
          sum(cnt) OVER () AS total
@@ -48,11 +48,11 @@ def q_cumshare_first_cross(spark, sf_dir):
     positions, not a single-partition window."""
     v = tx.vocabulary(tx.token_table(views.docs(spark, sf_dir))).withColumn("neg", -F.col("cnt"))
     r = positions(v, ["neg", "token"], name="start", weight="cnt")
-    rk = positions(v, ["neg", "token"], name="rk")
-    j = r.join(rk.select("token", "rk"), "token")
-    tot = v.agg(F.sum("cnt").alias("total")).first()["total"]
-    hit = F.col("start") + F.col("cnt") >= F.lit(0.5 * tot)
-    return j.agg(F.min(F.when(hit, F.col("rk") + 1)).alias("k"), F.lit(tot).cast("bigint").alias("total"))
+    # the running share is monotone: the crossing row is the first one whose
+    # cumulative count reaches half, so k = (rows still below half) + 1
+    total = v.agg(F.sum("cnt").alias("total")).first()["total"]
+    below = F.col("start") + F.col("cnt") < F.lit(0.5 * total)
+    return r.agg((F.count_if(below) + 1).cast("bigint").alias("k"), F.lit(total).cast("bigint").alias("total"))
 
 
 def _docs_train(spark, sf_dir):

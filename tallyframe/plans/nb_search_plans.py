@@ -61,7 +61,7 @@ def _search_sql(fold_expr: str, where: str, n_folds: int, cands, a_class: float
         ("voc", "SELECT DISTINCT fo.f, c.token FROM folds fo JOIN cnt c ON c.fold <> fo.f"),
         ("ctr", """SELECT v.f, v.token, cl.y, coalesce(sum(c.n), 0) AS n FROM voc v CROSS JOIN cls cl
                    LEFT JOIN cnt c ON c.token = v.token AND c.y = cl.y AND c.fold <> v.f GROUP BY v.f, v.token, cl.y"""),
-        ("cands", f"SELECT * FROM (VALUES {vals}) t(cand, a, b)"),
+        ("cands", f"SELECT cand, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b FROM (VALUES {vals}) t(cand, a, b)"),
         ("theta", """SELECT ctr.f, cands.cand, ctr.token, ctr.y, (ctr.n + cands.a) / (nktr.nk + cands.a + cands.b) AS theta
                      FROM ctr JOIN nktr ON ctr.f = nktr.f AND ctr.y = nktr.y CROSS JOIN cands"""),
         ("base", f"""SELECT t.f, t.cand, t.y, ln((nktr.nk + {a_class}) / (ntr.n + ntr.k * {a_class})) + sum(ln(1 - t.theta)) AS base

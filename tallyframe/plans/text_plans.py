@@ -117,8 +117,7 @@ TF_CTE = ("tf", f"""SELECT id, token, count(*) AS tc, any_value(nw) AS nw FROM
                              "FROM tf JOIN idf ON tf.token = idf.token", OCC, PRES, VOC3, IDF_CTE, TF_CTE))
 def q_tfidf(spark, sf_dir):
     """Term frequency over all words of the row, times idf."""
-    d = views.docs(spark, sf_dir)
-    t = tx.tfidf(d, tx.idf(d, _vocab3(d)))
+    t = tx.tfidf_fit_transform(views.docs(spark, sf_dir), STOP_WORDS, 2)
     return t.select("id", "token", round6("value").alias("value"))
 
 

@@ -12,6 +12,7 @@ from tallyframe.sources.tables import TABLES
 from conftest import SF_SMALL
 
 SQL = E.oracle_sql()
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 QUERIES = E.queries()
 
 
@@ -42,10 +43,12 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(SQL[name])
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(SQL[name])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
+    drows = rel.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    spark_types = dict(df.dtypes)
+    assert {c: TYPES.get(t, t) for c, t in zip(dcols, dtypes)} == {c: spark_types[c] for c in dcols}
     assert len(rows) == len(drows)
     assert _canon(df.columns, rows) == _canon(dcols, drows)
 
