@@ -2,20 +2,47 @@
 
 A ``row_number()`` window without ``partitionBy`` pulls every row into one
 task, and one with a skewed ``partitionBy`` key pulls a third of the table
-into one task.  ``positions`` instead range-partitions on
-``(group, order)``, numbers rows inside each range partition, and adds the
-count of same-group rows in earlier partitions (a table of size
-partitions x groups, always tiny).  Two shuffles, no single-task stage.
+into one task.  ``positions`` instead cuts the order key into ranges,
+numbers rows inside each (range, group), and adds the count of same-group
+rows in earlier ranges (a table of size ranges x groups, always tiny).
+
+The range of a row is a pure function of its key and of range bounds that
+are sampled once and held on the driver as literals (n - 1 struct values).
+Both passes over the input (per-range counts, per-range numbering) compute
+the same range for every row even when the input is recomputed in another
+order -- unlike a sampled ``repartitionByRange`` evaluated twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def range_bucket(df: DataFrame, order_cols: Sequence[str], n: int, seed: int = 7) -> Column:
+    """Column with the range index (0..n-1) of each row's ``order_cols`` key.
+
+    Bounds: a seeded sample of about 20 keys per range is sorted by Spark
+    and every m-th key is kept (bounded: n - 1 literals); the index is the
+    number of bounds below the key (struct ordering = Spark's sort order)."""
+    if n <= 1:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    total = df.count()
+    frac = min(1.0, 20.0 * n / max(total, 1))
+    sample = df.select(*order_cols).sample(False, frac, seed).orderBy(*order_cols).collect()
+    if not sample:
+        return F.lit(0)
+    step = len(sample) / n
+    picks = sorted({min(len(sample) - 1, int(step * i)) for i in range(1, n)})
+    bounds = [sample[i] for i in picks]
+    key = F.struct(*[F.col(c).alias(c) for c in order_cols])
+    lits = F.array(*[F.struct(*[F.lit(b[c]).cast(types[c]).alias(c) for c in order_cols]) for b in bounds])
+    return F.aggregate(lits, F.lit(0), lambda acc, b: acc + F.when(key > b, 1).otherwise(0))
+
+
 def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
               name: str = "pos", num_partitions: int | None = None,
               weight: str | None = None) -> DataFrame:
@@ -27,8 +54,7 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*group_cols, *order_cols]
-    ranged = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
+    ranged = df.withColumn("_pid", range_bucket(df, order_cols, n))
     w = F.col(weight) if weight else F.lit(1)
     counts = ranged.groupBy("_pid", *group_cols).agg(F.sum(w).alias("_n"))
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -40,7 +66,7 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
         numbered = ranged.withColumn("_local", running)
     else:
         numbered = ranged.withColumn("_local", F.row_number().over(local) - 1)
-    # offsets has at most partitions x groups rows: broadcasting it is bounded
+    # offsets has at most ranges x groups rows: broadcasting it is bounded
     out = numbered.join(F.broadcast(offsets), ["_pid", *group_cols])
     return out.withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_pid", "_off", "_local")
 
@@ -57,7 +83,7 @@ def running_max_before(df: DataFrame, order_cols: Sequence[str], value: str, nam
     with one row per partition)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    ranged = df.withColumn("_pid", range_bucket(df, order_cols, n))
     pmax = ranged.groupBy("_pid").agg(F.max(value).alias("_pm"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pmax.select("_pid", F.max("_pm").over(before).alias("_om"))
