@@ -54,6 +54,9 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # read by the bound sample and by both passes: materialise the input once
+    # (MEMORY_AND_DISK; recomputed from lineage if an executor is lost)
+    df = df.persist()
     ranged = df.withColumn("_pid", range_bucket(df, order_cols, n))
     w = F.col(weight) if weight else F.lit(1)
     counts = ranged.groupBy("_pid", *group_cols).agg(F.sum(w).alias("_n"))
