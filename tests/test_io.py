@@ -67,3 +67,17 @@ def test_pipeline_save_load_predicts_like_mllib(spark):
     lib = m.transform(pv).select("id", F.col("prediction").cast("int").alias("pred"))
     assert mine.count() == lib.count()
     assert mine.exceptAll(lib).count() == 0
+
+
+def test_running_best_log_sink(spark):
+    scores = spark.createDataFrame([(1, 0.2), (2, 0.5), (3, 0.5), (4, 0.4), (5, 0.9)], "iteration int, score double")
+    path = os.path.join(_tmp(), "log")
+    best = csv_io.running_best_log(scores, "iteration", "score", path)
+    assert sorted(r["iteration"] for r in best.collect()) == [1, 2, 5]
+    back = spark.read.option("header", True).csv(path)
+    assert sorted(int(r["iteration"]) for r in back.collect()) == [1, 2, 5]
+
+
+def test_vocabulary_table_sorted_index(spark):
+    v = params.vocabulary_table(spark, {"Q5": ["up", "cars", "Alien"]}).orderBy("idx").collect()
+    assert [(r["token"], r["idx"]) for r in v] == [("Alien", 0), ("cars", 1), ("up", 2)]
