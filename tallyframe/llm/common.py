@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +64,15 @@ def shared(df: DataFrame) -> DataFrame:
     """df written once to the folder that all executors share, lineage cut."""
     prepare(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet beside the checkpoints, and read again.
+
+    For tables that grow with the corpus: compressed, unlike ``shared``.
+    """
+    spark = df.sparkSession
+    prepare(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
