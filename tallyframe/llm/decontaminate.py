@@ -116,14 +116,15 @@ def contaminated_rows(docs: DataFrame, items: DataFrame, **settings) -> DataFram
 def contamination(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """doc_id, contaminated, n_items, first_item, n_windows of every document.
 
-    ``n_windows``: places of the document where a window overlaps some item.
+    ``n_windows``: places of the document where a window overlaps some item;
+    ``first_item``: -1 without an item.
     """
     found = contaminated_rows(docs, items, **settings).withColumnsRenamed({"doc_id": "d", "row": "r"})
     rows = pick(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("row"))
     out = rows.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")), "left")
     zero = F.lit(0).cast("bigint")
     return out.select("doc_id", F.col("r").isNotNull().alias("contaminated"), F.coalesce("n_items", zero).alias("n_items"),
-                      "first_item", F.coalesce("n_windows", zero).alias("n_windows"))
+                      F.coalesce("first_item", zero - 1).alias("first_item"), F.coalesce("n_windows", zero).alias("n_windows"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
@@ -153,6 +154,6 @@ short_hits AS (SELECT doc_id, item_id, p AS start
                FROM (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS p FROM d) x JOIN b ON len(b.t) < 13 AND len(b.t) > 0 AND x.t[p:p + len(b.t) - 1] = b.t),
 hits AS (SELECT * FROM long_hits UNION SELECT * FROM short_hits),
 found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, min(item_id) AS first_item, count(DISTINCT start) AS n_windows FROM hits GROUP BY doc_id)
-SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, first_item, coalesce(n_windows, 0) AS n_windows
+SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(first_item, -1) AS first_item, coalesce(n_windows, 0) AS n_windows
 FROM documents LEFT JOIN found USING (doc_id)
 """

@@ -153,42 +153,40 @@ def deletions(docs: DataFrame) -> DataFrame:
     return each.select("doc", "row", align("shared").alias("deleted"))
 
 
-def line_dedup(docs: DataFrame, deleted_as: str | None = None) -> DataFrame:
-    """All rows and columns of docs, text without the deleted lines.
-
-    ``n_chars``, where there, is counted anew.  ``deleted_as`` adds the places
-    of the deleted lines under that name.
-    """
+def cut_lines(docs: DataFrame) -> DataFrame:
+    """docs by position (c0, c1, ...), cut, with the columns n_lines and deleted (places)."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
     plain = docs.toDF(*names)
-    keyed = plain.select("*", *row_key(F.col(names[id_at]), F.col(names[text_at])))
-    gone = deletions(docs)
+    doc_id, text = (names[docs.columns.index(n)] for n in ("doc_id", "text"))
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(F.col(text), "\n", -1))).alias("n_lines")
+    keyed = plain.select("*", *row_key(F.col(doc_id), F.col(text)), n_lines)
 
     @arrow_udf("string")
     def without(texts: pa.Array, places: pa.Array) -> pa.Array:
         out = []
-        for text, at in zip(texts.to_pylist(), places.to_pylist()):
-            if text is not None and at:
+        for t, at in zip(texts.to_pylist(), places.to_pylist()):
+            if t is not None and at:
                 drop = set(at)
-                text = "\n".join(line for i, line in enumerate(text.split("\n")) if i not in drop)
-            out.append(text)
+                t = "\n".join(line for i, line in enumerate(t.split("\n")) if i not in drop)
+            out.append(t)
         return pa.array(out, pa.string())
 
-    text = names[text_at]
-    joined = keyed.join(gone, ["doc", "row"], "left").withColumn(text, without(text, "deleted"))
+    joined = keyed.join(deletions(docs), ["doc", "row"], "left").withColumn(text, without(text, "deleted"))
+    return joined.select(*names, "n_lines", "deleted")
+
+
+def line_dedup(docs: DataFrame) -> DataFrame:
+    """All rows and columns of docs, text without the deleted lines; ``n_chars``, where there, is counted anew."""
+    out = cut_lines(docs)
     if "n_chars" in docs.columns:
-        joined = joined.withColumn(names[docs.columns.index("n_chars")], F.char_length(text).cast("bigint"))
-    out = joined.select(*names, *(["deleted"] if deleted_as else []))
-    return out.toDF(*docs.columns, *([deleted_as] if deleted_as else []))
+        text, n_chars = (f"c{docs.columns.index(n)}" for n in ("text", "n_chars"))
+        out = out.withColumn(n_chars, F.char_length(text).cast("bigint"))
+    return out.drop("n_lines", "deleted").toDF(*docs.columns)
 
 
 def line_dedup_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_deleted, kept_sha256 of every document."""
-    out = line_dedup(pick(docs, "doc_id", "text"), "deleted")
-    n_deleted = F.coalesce(F.size("deleted"), F.lit(0))
-    kept_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split(F.col("text"), "\n", -1)))
-    all_gone = (F.col("text") == "") & (n_deleted > 0)
-    return out.select("doc_id", F.when(all_gone, n_deleted).otherwise(kept_lines + n_deleted).cast("bigint").alias("n_lines"),
-                      n_deleted.cast("bigint").alias("n_deleted"),
-                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+    out = cut_lines(pick(docs, "doc_id", "text"))
+    return out.select(F.col("c0").alias("doc_id"), F.col("n_lines").cast("bigint"),
+                      F.coalesce(F.size("deleted"), F.lit(0)).cast("bigint").alias("n_deleted"),
+                      F.sha2(F.coalesce("c1", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

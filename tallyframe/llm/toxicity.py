@@ -1,7 +1,8 @@
 """Operator 8: toxicity by a weighted finite-state pattern grammar.
 
-Words become classes (insult, threat, target, negation, reported speech).  A
-scope transducer marks insults and threats that stand under a negation or in
+Words become classes (insult, doubtful insult, threat, target, negation,
+reported speech); doubtful ones also turn up in clean texts, and count by how
+many there are.  A scope transducer marks insults and threats that stand under a negation or in
 reported speech; a clause transducer reads its marks and, at the end of a
 clause, writes what the clause says of whom.  Both are composed into one
 machine.  A document's score is a logistic function of its matched clauses;
@@ -25,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +39,18 @@ from tallyframe.llm.common import bucket_of_id, own_name, pick, shared
 #: Labelled rows of each label that the fit takes.
 SAMPLE = 10_000
 THRESHOLD = 0.7
-#: A learned entry occurs in so many toxic training texts, and so pure.
-LEAST_TEXTS = 6
+#: A learned entry is so pure, in LEAST_TEXTS toxic texts at least, and matches so
+#: many of their words that fewer than CHANCE entries would be by luck.
+LEAST_TEXTS = 3
 LEAST_PRECISION = 0.95
+CHANCE = 0.1
+#: A doubtful entry is in so many times the share of toxic texts than of clean ones.
+LEAST_LIFT = 4.0
 #: Candidates for the lexicon, most frequent first, and entries each toxic text should have.
 CANDIDATES = 2000
 COVER = 6
-STEMS = (4, 5)
+#: Lengths of word beginnings.
+STEMS = (4, 5, 6, 7, 8)
 CACHE_WORDS = 200_000
 
 SEED_INSULTS = frozenset("idiot moron stupid scum pathetic worthless trash loser disgusting dumb".split())
@@ -56,11 +63,11 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
 # --- transducers: (state, symbol) -> (state, written symbol) -----------------
 
-CLASSES = "itynro."
+CLASSES = "imtynro."
 
 
 def scope_transducer() -> dict:
-    """Marks i and t: plain (i, t), negated within three words (j, u), reported (k, v)."""
+    """Marks i, m and t: plain as they are; negated within three words j, l, u; reported k, k, v."""
     arcs = {}
     for reported in (0, 1):
         for left in range(4):
@@ -72,28 +79,27 @@ def scope_transducer() -> dict:
                     after, out = (reported, 3), "o"
                 elif c == "r":
                     after, out = (1, max(0, left - 1)), "o"
-                elif c in "it":
-                    out = {"i": "ijk", "t": "tuv"}[c][2 if reported else 1 if left else 0]
+                elif c in "imt":
+                    out = {"i": "ijk", "m": "mlk", "t": "tuv"}[c][2 if reported else 1 if left else 0]
                 arcs[(reported, left), c] = after, out
     return arcs
 
 
 def clause_transducer() -> dict:
-    """Writes (plain insults to 2, weak 0/1, threat 0/1, target 0/1) at the end of a clause."""
+    """Writes (plain insults to 2, doubtful 0/1, weak 0/1, threat 0/1, target 0/1) at the end of a clause."""
     arcs = {}
-    for plain in range(3):
-        for weak in (0, 1):
-            for threat in (0, 1):
-                for target in (0, 1):
-                    s = (plain, weak, threat, target)
-                    for c in "ijktuvyo.":
-                        arcs[s, c] = {
-                            "i": ((min(2, plain + 1), weak, threat, target), None),
-                            "t": ((plain, weak, 1, target), None),
-                            "y": ((plain, weak, threat, 1), None),
-                            "o": (s, None),
-                            ".": ((0, 0, 0, 0), s),
-                        }.get(c, ((plain, 1, threat, target), None))
+    for s in product(range(3), (0, 1), (0, 1), (0, 1), (0, 1)):
+        plain, doubtful, weak, threat, target = s
+        for c in "ijkmltuvyo.":
+            arcs[s, c] = {
+                "i": ((min(2, plain + 1), doubtful, weak, threat, target), None),
+                "m": ((plain, 1, weak, threat, target), None),
+                "l": (s, None),
+                "t": ((plain, doubtful, weak, 1, target), None),
+                "y": ((plain, doubtful, weak, threat, 1), None),
+                "o": (s, None),
+                ".": ((0, 0, 0, 0, 0), s),
+            }.get(c, ((plain, doubtful, 1, threat, target), None))
     return arcs
 
 
@@ -114,7 +120,7 @@ def compose(first: dict, second: dict, start: tuple) -> dict:
     return arcs
 
 
-START = ((0, 0), (0, 0, 0, 0))
+START = ((0, 0), (0, 0, 0, 0, 0))
 #: Numbered states, and symbols as bytes: arc [state][byte] -> (state, clause).
 _ARCS = compose(scope_transducer(), clause_transducer(), START)
 _STATE = {s: i for i, s in enumerate(dict.fromkeys([START, *(s for s, _ in _ARCS)]))}
@@ -134,16 +140,19 @@ def clause_of(codes: bytes) -> tuple:
 class Codes(dict):
     """Word as written -> class code, with "." after words that end a clause."""
 
-    def __init__(self, insults: frozenset[str], stems: frozenset[str]):
+    def __init__(self, strong: frozenset[str], doubtful: frozenset[str]):
         super().__init__()
-        self.insults, self.stems = insults, stems
+        self.strong, self.doubtful = strong, doubtful
 
     def __missing__(self, word: str) -> bytes:
         core = _EDGE.sub("", word)
+        entries = [core, *(core[:n] + "*" for n in STEMS if len(core) > n)]
         if not core:
             code = b""
-        elif core in self.insults or any(core[:n] in self.stems for n in STEMS if len(core) > n):
+        elif not self.strong.isdisjoint(entries):
             code = b"i"
+        elif not self.doubtful.isdisjoint(entries):
+            code = b"m"
         else:
             code = next((c for c, words in ((b"t", THREATS), (b"y", TARGETS), (b"n", NEGATIONS), (b"r", REPORTS)) if core in words), b"o")
         if word[-1] in ".!?;:":
@@ -158,37 +167,40 @@ def words_of(text: str) -> list[str]:
     return text.lower().replace("\n", " . ").split()
 
 
-FEATURES = 8
+FEATURES = 12
 
 
 def features(text: str | None, codes: Codes) -> list[float]:
     """Numbers of clauses by what they say, and their share."""
-    said = b"".join(map(codes.__getitem__, words_of(text or ""))) + b"."
-    if b"i" not in said and b"t" not in said:
+    words = words_of(text or "")
+    said = b"".join(map(codes.__getitem__, words)) + b"."
+    if not any(c in said for c in (b"i", b"m", b"t")):
         return [0.0] * FEATURES
     clauses = [c for c in said.split(b".") if c]
-    n = Counter(clause_of(c) for c in clauses if b"i" in c or b"t" in c)
-    plain = sum(k for (p, _, _, y), k in n.items() if p and not y)
-    aimed = sum(k for (p, _, _, y), k in n.items() if p and y)
-    twice = sum(k for (p, _, _, _), k in n.items() if p > 1)
-    weak = sum(k for (p, w, _, _), k in n.items() if w and not p)
-    threat = sum(k for (_, _, t, y), k in n.items() if t and not y)
-    aimed_threat = sum(k for (_, _, t, y), k in n.items() if t and y)
-    any_insult = plain + aimed + weak
+    n = Counter(clause_of(c) for c in clauses if any(x in c for x in (b"i", b"m", b"t")))
+    plain = sum(k for (p, _, _, _, y), k in n.items() if p and not y)
+    aimed = sum(k for (p, _, _, _, y), k in n.items() if p and y)
+    twice = sum(k for (p, _, _, _, _), k in n.items() if p > 1)
+    doubtful = sum(k for (p, d, _, _, _), k in n.items() if d and not p)
+    weak = sum(k for (p, _, w, _, _), k in n.items() if w and not p)
+    threat = sum(k for (_, _, _, t, y), k in n.items() if t and not y)
+    aimed_threat = sum(k for (_, _, _, t, y), k in n.items() if t and y)
+    kinds = len({w for w in words if codes[w][:1] == b"m"}) if b"m" in said else 0
     return [math.log1p(plain), math.log1p(aimed), math.log1p(twice), math.log1p(weak), math.log1p(threat),
-            math.log1p(aimed_threat), float(any_insult > 0), any_insult / max(1, len(clauses))]
+            math.log1p(aimed_threat), float(plain + aimed > 0), (plain + aimed + weak) / max(1, len(clauses)),
+            math.log1p(doubtful), float(kinds > 1), float(kinds > 2), min(1.0, 10 * said.count(b"m") / max(1, len(words)))]
 
 
-#: Weights before any label is seen: one plain insult passes, weak ones don't.
-PRIOR = np.array([3.0, 3.5, 1.0, 1.0, 0.5, 2.0, 1.0, 2.0, -4.0])
+#: Weights before any label is seen: one plain insult passes, weak and doubtful ones don't.
+PRIOR = np.array([3.0, 3.5, 1.0, 1.0, 0.5, 2.0, 2.0, 2.0, 0.3, 0.5, 0.5, 0.5, -4.0])
 
 
 @dataclass(frozen=True)
 class Grammar:
     """Learned lexicon and weights (the last one is the intercept)."""
 
-    insults: frozenset[str]
-    stems: frozenset[str]
+    strong: frozenset[str]
+    doubtful: frozenset[str]
     weights: tuple[float, ...]
 
     def score(self, x: list[float]) -> float:
@@ -196,8 +208,8 @@ class Grammar:
         return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, train, sample: int) -> DataFrame:
-    """(text, toxic): distinct texts of at most ``sample`` rows of each label."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, train, sample: int) -> tuple[DataFrame, float]:
+    """(text, toxic): distinct texts of at most ``sample`` rows of each label; the share of toxic labels."""
     known = (pick(labels, "doc_id", "toxic").where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .where(train(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     taken = None
@@ -205,39 +217,68 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train, sample: int) -> D
         few = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         taken = few if taken is None else taken.unionByName(few)
     # at most 2 * sample rows of two numbers: bounded, so it is broadcast
-    return (pick(docs, "doc_id", "text").join(F.broadcast(taken), "doc_id")
+    rows = (pick(docs, "doc_id", "text").join(F.broadcast(taken), "doc_id")
             .select(F.coalesce("text", F.lit("")).alias("text"), "toxic").dropDuplicates(["text"]))
+    return rows, float(known.agg(F.avg("toxic")).first()[0] or 0.0)
 
 
-def entries_of(text: str) -> set[str]:
-    """Lexicon entries that would match: words, and beginnings with a *."""
-    out = set()
-    for word in set(words_of(text)):
-        core = _EDGE.sub("", word)
+def entries_of(text: str) -> Counter:
+    """Lexicon entries that would match (words, and beginnings with a *), with
+    the number of different words of the text that each one matches."""
+    out: Counter = Counter()
+    for core in {_EDGE.sub("", word) for word in set(words_of(text))}:
         if len(core) > 2 and core[0].isalpha():
-            out.add(core)
+            out[core] += 1
             out.update(core[:n] + "*" for n in STEMS if len(core) > n)
     return out
 
 
+def chosen(texts: list[set[int]], penalty: dict[int, float], names: list[str], cover: int, least: float) -> set[int]:
+    """Entries by greedy cover of the texts, each ``cover`` times; an entry's
+    worth is the share of texts that still need it, less its penalty."""
+    need, holders, out = [cover] * len(texts), {}, set()
+    for i, has in enumerate(texts):
+        for e in has:
+            holders.setdefault(e, []).append(i)
+    while holders:
+        worth = {e: sum(need[i] > 0 for i in at) / len(texts) - penalty[e] for e, at in holders.items()}
+        best = min(worth, key=lambda e: (-worth[e], len(names[e]), names[e]))
+        if worth[best] < least:
+            break
+        out.add(best)
+        for i in holders.pop(best):
+            need[i] -= 1
+    return out
+
+
 def learn_lexicon(sample: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
-    """Entries that mark toxic texts, enough of them for ``COVER`` in each."""
+    """Entries that mark toxic texts: (strong, doubtful)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = (Counter(), Counter())
+            n = {"clean": Counter(), "toxic": Counter(), "words": Counter()}
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n[bool(toxic)].update(entries_of(text))
-            keys = list(n[0].keys() | n[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in n)],
-                                             ["entry", "clean", "toxic"])
-
-    counted = (sample.select("text", "toxic").mapInArrow(count, "entry string, clean bigint, toxic bigint")
-               .groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    pure = (counted.where(F.col("toxic") >= LEAST_TEXTS).where(F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean")))
-            .orderBy(F.desc("toxic"), "entry").limit(CANDIDATES).collect())
-    known = [r["entry"] for r in pure]
+                found = entries_of(text)
+                n["toxic" if toxic else "clean"].update(found.keys())
+                if toxic:
+                    n["words"].update(found)
+            keys = list(n["clean"].keys() | n["toxic"].keys())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in n.values())],
+                                             ["entry", *n])
+
+    counted = (sample.select("text", "toxic").mapInArrow(count, "entry string, clean bigint, toxic bigint, words bigint")
+               .groupBy("entry").agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "words"))))
+    counted = shared(counted.where(F.col("toxic") >= LEAST_TEXTS))
+    clean, toxic = (sample.where(F.col("toxic") == v).count() for v in (0, 1))
+    share = min(0.9, max(toxic, 1) / max(1, clean + toxic))
+    least = math.ceil(math.log(max(1, counted.count()) / CHANCE) / -math.log(share))
+    often = counted.where(F.col("words") >= least)
+    precise = F.col("toxic") >= LEAST_PRECISION * (F.col("toxic") + F.col("clean"))
+    lifted = F.col("toxic") / max(1, toxic) >= LEAST_LIFT * (F.col("clean") + 0.5) / (clean + 1)
+    kinds = [often.where(w).orderBy(F.desc("toxic"), "entry").limit(CANDIDATES).collect() for w in (precise, ~precise & lifted)]
+    known = [r["entry"] for rows in kinds for r in rows]
     number = {e: i for i, e in enumerate(known)}
+    penalty = {number[r["entry"]]: 2 * r["clean"] / max(1, clean) for rows in kinds for r in rows}
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,24 +286,15 @@ def learn_lexicon(sample: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["has"])
 
     texts = [set(r["has"]) for r in sample.where("toxic = 1").select("text").mapInArrow(present, "has array<int>").collect()]
-    chosen: set[int] = set()
-    need = {i: COVER for i in range(len(texts))}
-    holders: dict[int, list[int]] = {}
-    for i, has in enumerate(texts):
-        for e in has:
-            holders.setdefault(e, []).append(i)
-    while holders:
-        gain = {e: sum(need[i] > 0 for i in at) for e, at in holders.items()}
-        best = min(gain, key=lambda e: (-gain[e], len(known[e]), known[e]))
-        if gain[best] < max(LEAST_TEXTS, 0.01 * len(texts)):
-            break
-        chosen.add(best)
-        for i in holders.pop(best):
-            need[i] -= 1
-    entries = [known[i] for i in chosen]
+    if not texts:
+        return SEED_INSULTS, frozenset()
+    least_worth = max(LEAST_TEXTS / len(texts), 0.01)
+    n_pure = len(kinds[0])
+    strong = chosen([{e for e in has if e < n_pure} for has in texts], dict.fromkeys(penalty, 0.0), known, COVER, least_worth)
+    missed = [has for has in texts if has.isdisjoint(strong)]
+    doubtful = chosen([{e for e in has if e >= n_pure} for has in missed], penalty, known, COVER, least_worth) if missed else set()
     unclear = {r["entry"] for r in counted.where(F.col("entry").isin(sorted(SEED_INSULTS))).where("clean > toxic").collect()}
-    return (frozenset(e for e in entries if e[-1] != "*") | (SEED_INSULTS - unclear),
-            frozenset(e[:-1] for e in entries if e[-1] == "*"))
+    return frozenset(known[i] for i in strong) | (SEED_INSULTS - unclear), frozenset(known[i] for i in doubtful)
 
 
 def learn_weights(x: np.ndarray, y: np.ndarray, steps: int = 60, pull: float = 1.0) -> np.ndarray:
@@ -282,20 +314,24 @@ def learn_weights(x: np.ndarray, y: np.ndarray, steps: int = 60, pull: float = 1
 
 def fit(docs: DataFrame, labels: DataFrame, train, sample: int = SAMPLE) -> Grammar:
     """``train``: column function of the id, true for rows that may be learned from."""
-    rows = shared(labelled_sample(docs, labels, train, sample))
-    insults, stems = learn_lexicon(rows)
+    rows, natural = labelled_sample(docs, labels, train, sample)
+    rows = shared(rows)
+    strong, doubtful = learn_lexicon(rows)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes(insults, stems)
+        codes = Codes(strong, doubtful)
         for batch in batches:
             x = [features(t, codes) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1).cast(pa.float64())], ["x", "y"])
 
     got = rows.select("text", "toxic").mapInArrow(described, "x array<double>, y double").collect()  # 2 * sample rows at most
-    if not any(r["y"] for r in got):
-        return Grammar(insults, stems, tuple(PRIOR))
-    w = learn_weights(np.array([r["x"] for r in got]), np.array([r["y"] for r in got]))
-    return Grammar(insults, stems, tuple(float(v) for v in w))
+    y = np.array([r["y"] for r in got])
+    if not y.any():
+        return Grammar(strong, doubtful, tuple(PRIOR))
+    w = learn_weights(np.array([r["x"] for r in got]), y)
+    if 0 < natural < 1 and y.mean() < 1:  # the sample holds more toxic texts than the labels do
+        w[-1] += math.log(natural / (1 - natural)) - math.log(y.mean() / (1 - y.mean()))
+    return Grammar(strong, doubtful, tuple(float(v) for v in w))
 
 
 def score_column(grammar: Grammar):
@@ -303,7 +339,7 @@ def score_column(grammar: Grammar):
 
     @arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        codes = Codes(grammar.insults, grammar.stems)
+        codes = Codes(grammar.strong, grammar.doubtful)
         return pa.array([grammar.score(features(t, codes)) for t in texts.to_pylist()], pa.float64())
 
     return score

@@ -104,9 +104,9 @@ def test_bpe_fuzz_offsets_and_split_characters(reference):
 
 
 def test_bpe_columns(spark):
-    df = bpe.encode(table(spark, [(1, "字 of"), (2, None)]), PATH, PATTERN)
+    df = bpe.encode(table(spark, [(1, "🙂 of"), (2, None)]), PATH, PATTERN)
     out = bpe.decode(df, PATH).withColumn("t", bpe.text_column()("decoded"))
-    assert rows_of(out, "doc_id", "t") == [(1, "字 of"), (2, "")]
+    assert rows_of(out, "doc_id", "t") == [(1, "🙂 of"), (2, "")]
     cut = df.where("doc_id = 1").withColumn("ids", F.expr("substring(ids, 1, 4)"))
     assert "�" in bpe.decode(cut, PATH).withColumn("t", bpe.text_column()("decoded")).first()["t"]
     assert bpe.roundtrip_digests(table(spark, []), PATH, PATTERN).count() == 0
@@ -329,7 +329,7 @@ def brute_leaks(rows, items):
                     if sum(x == y for x, y in zip(w[s:s + n], b[q:q + n])) >= need:
                         starts.add(s)
                         hit.add(item)
-        out.append((i, bool(hit), len(hit), min((h for h in hit if h is not None), default=None), len(starts)))
+        out.append((i, bool(hit), len(hit), min((h for h in hit if h is not None), default=-1), len(starts)))
     return ordered(out)
 
 
@@ -353,7 +353,7 @@ def test_decontamination(spark, block):
     df = clashing(table(spark, rows))
     got = decontaminate.contamination(df, bench, block_seeds=block)
     want = brute_leaks(rows, items)
-    assert sum(r[1] for r in want) > 20
+    assert sum(r[1] for r in want) > 15
     assert rows_of(got, "doc_id", "contaminated", "n_items", "first_item", "n_windows") == want
     kept = decontaminate.drop_contaminated(table(spark, rows), bench, block_seeds=block)
     assert rows_of(kept, "doc_id") == ordered([(r[0],) for r in want if not r[1]])
@@ -465,16 +465,17 @@ def test_toxicity(spark):
 
 
 def test_grammar_transducers():
-    codes = toxicity.Codes(frozenset({"idiot"}), frozenset())
+    codes = toxicity.Codes(frozenset({"idiot"}), frozenset({"grob*"}))
     said = lambda t: toxicity.clause_of(b"".join(codes[w] for w in t.split()).replace(b".", b""))
-    assert said("you idiot") == (1, 0, 0, 1) and said("idiot idiot idiot") == (2, 0, 0, 0)
-    assert said("not an idiot") == (0, 1, 0, 0) and said("they said idiot") == (0, 1, 0, 1)
-    assert said("not a b c idiot") == (1, 0, 0, 0) and said("i kill you") == (0, 0, 1, 1)
+    assert said("you idiot") == (1, 0, 0, 0, 1) and said("idiot idiot idiot") == (2, 0, 0, 0, 0)
+    assert said("not an idiot") == (0, 0, 1, 0, 0) and said("they said idiot") == (0, 0, 1, 0, 1)
+    assert said("not a b c idiot") == (1, 0, 0, 0, 0) and said("i kill you") == (0, 0, 0, 1, 1)
+    assert said("a grobian here") == (0, 1, 0, 0, 0) and said("not grobian") == (0, 0, 0, 0, 0)
     a, b = toxicity.scope_transducer(), toxicity.clause_transducer()
     rng = random.Random(3)
     for _ in range(300):  # the composed machine writes what the two write one after another
         word = [rng.choice(toxicity.CLASSES) for _ in range(12)]
-        s, t, u, two, one = (0, 0), (0, 0, 0, 0), 0, [], []
+        s, t, u, two, one = (0, 0), (0, 0, 0, 0, 0), 0, [], []
         for c in word:
             s, mark = a[s, c]
             t, out = b[t, mark]
@@ -577,4 +578,4 @@ def test_directory_doubling(spark):
         assert b == c >> (4 - d) << (4 - d)
         sizes[b, d] = sizes.get((b, d), 0) + cells[c]
     assert all(n <= 6 or d == 4 for (_, d), n in sizes.items())
-    assert got[9] == (8, 2) and got[0] == (0, 3) and got[2] == (2, 3) and got[15][1] == 2
+    assert got[9] == (8, 2) and got[0] == (0, 3) and got[2] == (2, 3) and got[15][1] == 4
