@@ -1,46 +1,40 @@
-"""Scalable row positions.
+"""Scalable row positions.
 
 A ``row_number()`` window without ``partitionBy`` pulls every row into one
 task, and one with a skewed ``partitionBy`` key pulls a third of the table
-into one task.  ``positions`` instead cuts the order key into ranges,
-numbers rows inside each (range, group), and adds the count of same-group
-rows in earlier ranges (a table of size ranges x groups, always tiny).
-
-The range of a row is a pure function of its key and of range bounds that
-are sampled once and held on the driver as literals (n - 1 struct values).
-Both passes over the input (per-range counts, per-range numbering) compute
-the same range for every row even when the input is recomputed in another
-order -- unlike a sampled ``repartitionByRange`` evaluated twice.
+into one task.  Here the table is range-partitioned on (group, order), sorted
+inside its partitions and written once with ``checkpoint()``.  From then on
+partition number and place in the partition are facts of stored data: every
+later pass sees the same ones, also after an executor is lost.  A row's
+position is its place in its stretch of the group plus the group's rows in
+earlier partitions, a table with one row for each (partition, group) that
+occurs, at most partitions + groups of them.  The cost is one shuffle and one
+sort, whatever the number of partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_PLACE_BITS = 33  # monotonically_increasing_id: partition number above, place below
 
-def range_bucket(df: DataFrame, order_cols: Sequence[str], n: int, seed: int = 7) -> Column:
-    """Column with the range index (0..n-1) of each row's ``order_cols`` key.
-
-    Bounds: a seeded sample of about 20 keys per range is sorted by Spark
-    and every m-th key is kept (bounded: n - 1 literals); the index is the
-    number of bounds below the key (struct ordering = Spark's sort order)."""
-    if n <= 1:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    total = df.count()
-    frac = min(1.0, 20.0 * n / max(total, 1))
-    sample = df.select(*order_cols).sample(False, frac, seed).orderBy(*order_cols).collect()
-    if not sample:
-        return F.lit(0)
-    step = len(sample) / n
-    picks = sorted({min(len(sample) - 1, int(step * i)) for i in range(1, n)})
-    bounds = [sample[i] for i in picks]
-    key = F.struct(*[F.col(c).alias(c) for c in order_cols])
-    lits = F.array(*[F.struct(*[F.lit(b[c]).cast(types[c]).alias(c) for c in order_cols]) for b in bounds])
-    return F.aggregate(lits, F.lit(0), lambda acc, b: acc + F.when(key > b, 1).otherwise(0))
+
+def ordered(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """df in the global order of ``cols``, stored, with ``_pid`` and ``_place``."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint()
+    number = F.monotonically_increasing_id()
+    return stored.withColumn("_pid", F.shiftright(number, _PLACE_BITS)).withColumn(
+        "_place", number.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
+
+
+def _same(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:
+    """Null-safe equality of left's columns with right's, by name."""
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in names.items()])
 
 
 def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
@@ -48,48 +42,47 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
               weight: str | None = None) -> DataFrame:
     """Add a 0-based ``name`` column: rank of each row inside its group.
 
-    ``order_cols`` must make rows unique inside a group (add the id).  With
-    ``weight`` (a count column of pre-aggregated rows) the result is the
-    weighted start rank: the sum of the weights of all earlier rows.
+    ``order_cols`` must make rows unique inside a group (add the id).  A null
+    group is a group like any other.  With ``weight`` (a count column of
+    pre-aggregated rows) the result is the weighted start rank: the sum of the
+    weights of all earlier rows.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # read by the bound sample and by both passes: materialise the input once
-    # (MEMORY_AND_DISK; recomputed from lineage if an executor is lost)
-    df = df.persist()
-    ranged = df.withColumn("_pid", range_bucket(df, order_cols, n))
-    w = F.col(weight) if weight else F.lit(1)
-    counts = ranged.groupBy("_pid", *group_cols).agg(F.sum(w).alias("_n"))
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *group_cols,
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_off"))
-    local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
+    g = list(group_cols)
+    rows = ordered(df, [*g, *order_cols], num_partitions)
     if weight:
-        running = F.coalesce(F.sum(w).over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        numbered = ranged.withColumn("_local", running)
+        earlier = Window.partitionBy("_pid", *g).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("_in", F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+        stretch = F.sum(weight)
     else:
-        numbered = ranged.withColumn("_local", F.row_number().over(local) - 1)
-    # offsets has at most ranges x groups rows: broadcasting it is bounded
-    out = numbered.join(F.broadcast(offsets), ["_pid", *group_cols])
-    return out.withColumn(name, (F.col("_off") + F.col("_local")).cast("bigint")).drop("_pid", "_off", "_local")
+        rows = rows.withColumn("_in", F.col("_place"))
+        stretch = F.count(F.lit(1))
+    stretches = rows.groupBy("_pid", *g).agg(stretch.alias("_n"), F.min("_in").alias("_first"))
+    before = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    offsets = stretches.select(F.col("_pid").alias("_p"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)],
+                               start.alias("_off"))
+    keys = {"_pid": "_p"} | {c: f"_g{i}" for i, c in enumerate(g)}
+    out = rows.join(offsets, _same(rows, offsets, keys))
+    return out.select(*df.columns, (F.col("_in") + F.col("_off")).cast("bigint").alias(name))
 
 
-def group_sizes(df: DataFrame, group_cols: Sequence[str], name: str = "group_n") -> DataFrame:
-    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name))
+def group_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on group columns in which a null group meets a null group."""
+    renamed = right.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(cols)})
+    out = left.join(renamed, _same(left, renamed, {c: f"_k{i}" for i, c in enumerate(cols)}), how)
+    return out.drop(*[f"_k{i}" for i in range(len(cols))])
 
 
 def running_max_before(df: DataFrame, order_cols: Sequence[str], value: str, name: str = "prev_max",
                        num_partitions: int | None = None) -> DataFrame:
-    """W2 building block: max of ``value`` over all earlier rows (NULL for
-    the first row), without a single-partition window: per range partition
-    a local running max, plus the max of all earlier partitions (a table
-    with one row per partition)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.withColumn("_pid", range_bucket(df, order_cols, n))
-    pmax = ranged.groupBy("_pid").agg(F.max(value).alias("_pm"))
+    """W2 building block: max of ``value`` over all earlier rows (NULL for the
+    first row): the running max inside each stored partition, and the max of
+    all earlier partitions (a table with one row per partition)."""
+    rows = ordered(df, order_cols, num_partitions)
+    local = Window.partitionBy("_pid").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pmax.select("_pid", F.max("_pm").over(before).alias("_om"))
-    local = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    out = ranged.withColumn("_lm", F.max(value).over(local)).join(F.broadcast(offsets), "_pid")
-    return out.withColumn(name, F.greatest("_lm", "_om")).drop("_pid", "_lm", "_om")
+    offsets = (rows.groupBy("_pid").agg(F.max(value).alias("_pm"))
+               .select(F.col("_pid").alias("_p"), F.max("_pm").over(before).alias("_om")))
+    rows = rows.withColumn("_lm", F.max(value).over(local))
+    out = rows.join(offsets, rows["_pid"] == offsets["_p"])
+    return out.select(*df.columns, F.greatest("_lm", "_om").alias(name))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.operators.ordering import positions
+from tallyframe.operators.ordering import group_join, positions
 
 
 def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
@@ -51,9 +51,9 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
             .withColumn("_lo", F.floor("_h").cast("bigint"))
             .withColumn("_frac", F.col("_h") - F.col("_lo"))
             .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1)))
-    # need has groups x quantiles rows: bounded, broadcast.  Equi-join on the
-    # group with a range filter: each value row meets at most 2|qs| rows.
-    j = ranked.join(F.broadcast(need), g)
+    # Equi-join on the group with a range filter: each value row meets at most
+    # |qs| rows; whether the need table is broadcast is left to its size.
+    j = group_join(ranked, need, g)
     lo_hit = (F.col("_lo") >= F.col("_start")) & (F.col("_lo") < F.col("_start") + F.col("_c"))
     hi_hit = (F.col("_hi") >= F.col("_start")) & (F.col("_hi") < F.col("_start") + F.col("_c"))
     picked = (j.where(lo_hit | hi_hit)
@@ -82,7 +82,7 @@ def describe(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> D
                                F.min(x).alias("min"), F.max(x).alias("max"))
     qs = quantile_columns(df, value_col, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, g)
     # both sides have one row per group
-    return basic.join(qs, g, "left")
+    return group_join(basic, qs, g, "left")
 
 
 def boxplot_stats(df: DataFrame, value_col: str, group_cols: Sequence[str]) -> DataFrame:
@@ -93,8 +93,7 @@ def boxplot_stats(df: DataFrame, value_col: str, group_cols: Sequence[str]) -> D
           .withColumn("_lof", F.col("q1") - 1.5 * F.col("iqr"))
           .withColumn("_hif", F.col("q3") + 1.5 * F.col("iqr")))
     x = F.col(value_col)
-    # qs has one row per group (bounded by the group count): broadcast
-    j = df.where(x.isNotNull()).join(F.broadcast(qs), g)
+    j = group_join(df.where(x.isNotNull()), qs, g)
     inside = (x >= F.col("_lof")) & (x <= F.col("_hif"))
     return (j.groupBy(*g, "q1", "median", "q3", "iqr")
             .agg(F.min(F.when(inside, x)).alias("whisker_lo"),
@@ -121,16 +120,12 @@ def histogram(df: DataFrame, value_col: str, bins: int = 15) -> DataFrame:
                     F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
 
-KDE_REACH = 10.0  # kernel terms beyond 10 bandwidths are below exp(-50)
-
-
 def kde(df: DataFrame, value_col: str, gridsize: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian KDE, Scott bandwidth ``h = std * n^(-1/5)``, grid of
     ``gridsize`` points over ``[min - cut h, max + cut h]``.
 
     Values are pre-aggregated to (value, count); each distinct value fans out
-    only to the grid points within ``KDE_REACH`` bandwidths (bounded by
-    ``gridsize``), so no values x grid product is formed.
+    to the ``gridsize`` grid points, a fixed number, and is summed map-side.
     """
     x = F.col(value_col)
     n, sd, mn, mx = df.agg(F.count(x), F.stddev_samp(x), F.min(x), F.max(x)).first()
@@ -140,9 +135,7 @@ def kde(df: DataFrame, value_col: str, gridsize: int = 200, cut: float = 3.0) ->
     lo, hi = mn - cut * h, mx + cut * h
     step = (hi - lo) / (gridsize - 1)
     vals = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    i_lo = F.greatest(F.ceil((F.col("v") - KDE_REACH * h - lo) / step), F.lit(0)).cast("int")
-    i_hi = F.least(F.floor((F.col("v") + KDE_REACH * h - lo) / step), F.lit(gridsize - 1)).cast("int")
-    fan = vals.select("v", "c", F.explode(F.sequence(i_lo, i_hi)).alias("i"))
+    fan = vals.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("i"))
     gx = F.lit(lo) + F.col("i") * F.lit(step)
     z = (gx - F.col("v")) / F.lit(h)
     dens = fan.groupBy("i").agg(F.sum(F.col("c") * F.exp(-0.5 * z * z)).alias("k"))

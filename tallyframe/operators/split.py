@@ -27,10 +27,17 @@ def exact_split(df: DataFrame, train_share: float = 0.8, id_col: str = "id", see
                 name: str = "split") -> DataFrame:
     """Exactly ``int(train_share * n)`` training rows, the first ones in
     hash order (ties on the bucket broken by id)."""
-    n = df.count()
-    n_train = int(train_share * n)
-    ranked = positions(df.withColumn("_b", md5_bucket(id_col, BUCKETS, seed)), ["_b", id_col], name="_pos")
-    return ranked.withColumn(name, F.when(F.col("_pos") < n_train, "train").otherwise("test")).drop("_b", "_pos")
+    b = md5_bucket(id_col, BUCKETS, seed)
+    counts = dict(df.groupBy(b.alias("_b")).count().collect())  # BUCKETS rows at most
+    left = int(train_share * sum(counts.values()))
+    cut = 0
+    while left >= counts.get(cut, 0) and cut < BUCKETS:
+        left -= counts.get(cut, 0)
+        cut += 1
+    # the cut bucket's first ``left`` ids, found by one bounded sort of that bucket alone
+    last = df.where(b == cut).select(id_col).orderBy(id_col).limit(left).agg(F.max(id_col)).first()[0] if left else None
+    train = (b < cut) if last is None else ((b < cut) | ((b == cut) & (F.col(id_col) <= F.lit(last))))
+    return df.withColumn(name, F.when(train, "train").otherwise("test"))
 
 
 def kfold(df: DataFrame, k: int = 5, id_col: str = "id", seed: int | None = 42, name: str = "fold") -> DataFrame:
