@@ -1,12 +1,10 @@
 """Truncated SVD with a variance target.
 
-The Gram matrix X^T X is the sum of per-partition numpy products
-(``mapInPandas`` emits one D x D block per partition, a DataFrame aggregate
-sums them), exactly what a distributed row matrix does; D is capped, so the
-final D x D eigen-decomposition on the driver is bounded.  Column means and
-variances come from the same pass, so the explained-variance ratio needs no
-second pass over the rows:
+MLlib's row matrix gives singular values and right singular vectors (it forms
+the Gram matrix of narrow inputs and multiplies by the rows of wide ones), its
+summarizer the column means and variances; the explained-variance ratio is
     ratio_i = (s_i^2 / N - (mu . v_i)^2) / sum_j var_j
+What reaches the driver is ``max_components`` vectors of the width.
 """
 
 from __future__ import annotations
@@ -14,11 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.stat import Summarizer
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_GRAM_WIDTH = 2048
-
 
 @dataclass
 class SVDResult:
@@ -35,70 +34,20 @@ class SVDResult:
         return int(hit[0] + 1) if hit.size else int(len(self.ratio))
 
 
-def gram(vectors: DataFrame, width: int, col: str = "features"):
-    """(X^T X, column sums, N) of a vector column.
-
-    Each partition multiplies its rows in numpy and emits the upper
-    triangle as (i, j, v) entries (row i = -1 carries the column sums and
-    the row count); a ``groupBy(i, j)`` with map-side combine sums the
-    blocks, so no single task ever holds more than one D x D block."""
-    if width > MAX_GRAM_WIDTH:
-        raise ValueError(f"width {width} > {MAX_GRAM_WIDTH}")
-    from pyspark.ml.functions import vector_to_array
-
-    arr = vectors.select(vector_to_array(F.col(col)).alias("x"))
-    iu, ju = np.triu_indices(width)
-
-    def part(batches):
-        import pandas as pd
-        g = np.zeros((width, width))
-        s = np.zeros(width)
-        n = 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.vstack(pdf["x"].to_numpy())
-            g += x.T @ x
-            s += x.sum(axis=0)
-            n += x.shape[0]
-        if n == 0:
-            return
-        yield pd.DataFrame({"i": iu, "j": ju, "v": g[iu, ju]})
-        yield pd.DataFrame({"i": np.full(width + 1, -1), "j": np.arange(width + 1),
-                            "v": np.append(s, float(n))})
-
-    entries = arr.mapInPandas(part, "i int, j int, v double")
-    tot = entries.groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
-    g = np.zeros((width, width))
-    s = np.zeros(width)
-    n = 0
-    for r in tot:
-        if r["i"] == -1:
-            if r["j"] == width:
-                n = int(round(r["v"]))
-            else:
-                s[r["j"]] = r["v"]
-        else:
-            g[r["i"], r["j"]] = r["v"]
-            g[r["j"], r["i"]] = r["v"]
-    return g, s, n
-
-
 def fit_svd(vectors: DataFrame, width: int, max_components: int = 500, col: str = "features") -> SVDResult:
     """Right singular vectors and explained-variance ratios (no centring)."""
-    g, s, n = gram(vectors, width, col)
-    evals, evecs = np.linalg.eigh(g)
-    order = np.argsort(evals)[::-1][: min(max_components, width)]
-    lam = np.clip(evals[order], 0.0, None)
-    v = evecs[:, order].T
+    rows = vectors.select(F.col(col).alias("x")).persist()
+    n, mean, var = rows.agg(Summarizer.count(F.col("x")).alias("n"), Summarizer.mean(F.col("x")).alias("mean"),
+                            Summarizer.variance(F.col("x")).alias("var")).first()
+    svd = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "x"), n, width).computeSVD(min(max_components, width, n))
+    rows.unpersist()
+    s, v = svd.s.toArray(), svd.V.toArray().T
     # sign convention: largest-magnitude entry of each vector positive
     idx = np.argmax(np.abs(v), axis=1)
     v = v * np.sign(v[np.arange(v.shape[0]), idx])[:, None]
-    mu = s / max(n, 1)
-    col_var = np.diag(g) / max(n, 1) - mu ** 2
-    total = col_var.sum()
-    ratio = (lam / max(n, 1) - (v @ mu) ** 2) / total if total > 0 else np.zeros_like(lam)
-    return SVDResult(np.sqrt(lam), v, ratio, n)
+    total = float(var.toArray().sum()) * (n - 1) / n
+    ratio = (s ** 2 / n - (v @ mean.toArray()) ** 2) / total if total > 0 else np.zeros_like(s)
+    return SVDResult(s, v, ratio, int(n))
 
 
 def component_table(spark, components: np.ndarray) -> DataFrame:
@@ -108,9 +57,13 @@ def component_table(spark, components: np.ndarray) -> DataFrame:
     return spark.createDataFrame(rows, "feature bigint, v array<double>")
 
 
-def project(features: DataFrame, comps: DataFrame, k: int) -> DataFrame:
-    """X @ components.T in long form -> (id, component, value)."""
+def project(features: DataFrame, comps: DataFrame, k: int, ids: DataFrame | None = None) -> DataFrame:
+    """X @ components.T in long form -> (id, component, value).
+
+    ``ids`` (id): rows to project; one without a known feature is all zero."""
     j = features.join(comps, "feature")
     agg = j.groupBy("id").agg(*[F.sum(F.col("value") * F.get(F.col("v"), i)).alias(f"c{i}") for i in range(k)])
-    st = F.explode(F.array(*[F.struct(F.lit(i).alias("component"), F.col(f"c{i}").alias("value")) for i in range(k)]))
+    if ids is not None:
+        agg = ids.select("id").join(agg, "id", "left")
+    st = F.explode(F.array(*[F.struct(F.lit(i).alias("component"), F.coalesce(f"c{i}", F.lit(0.0)).alias("value")) for i in range(k)]))
     return agg.select("id", st.alias("s")).select("id", "s.*")
