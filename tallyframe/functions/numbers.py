@@ -60,5 +60,9 @@ def num_first(c) -> Column:
 
 
 def num_strict(c) -> Column:
-    """Commas removed, the whole string must be a number, else NULL."""
-    return F.regexp_replace(col_(c), ",", "").try_cast("double")
+    """Commas removed, the whole string must be a number, else NULL.
+
+    The pattern keeps out what a JVM cast would take besides (``1d``, ``5f``)."""
+    s = F.regexp_replace(col_(c), ",", "")
+    number = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
+    return F.when(s.rlike(number), s.try_cast("double"))

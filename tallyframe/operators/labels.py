@@ -70,7 +70,8 @@ def label_encode(df: DataFrame, cols: list[str], fill: str = "0", id_col: str =
 
 def one_hot_label(df: DataFrame, classes: list[str], label_col: str = "label",
                   prefix: str = "Label_") -> DataFrame:
-    """One 0/1 column per class; the label column is replaced."""
-    lab = F.col(label_col)
+    """One 0/1 column per class; the label column is replaced.  Labels are
+    cleaned as the classes are, so a missing or padded one finds its column."""
+    lab = clean_label(label_col)
     cols = [F.coalesce((lab == F.lit(v)).cast("int"), F.lit(0)).alias(f"{prefix}{v}") for v in classes]
     return df.select(*[c for c in df.columns if c != label_col], *cols)

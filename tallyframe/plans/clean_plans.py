@@ -13,6 +13,7 @@ from tallyframe.operators import categories as cat
 from tallyframe.operators import clean, profile
 from tallyframe.operators.labels import class_list, label_encode, label_index_table, one_hot_label
 from tallyframe.plans.oracle_views import (
+    strip_sql,
     bucket_sql, n1_sql, n2_sql, n3_sql, n4_sql, n5_sql, options_sql, with_views,
 )
 from tallyframe.plans.registry import register
@@ -156,7 +157,7 @@ def q_ordinal_map(spark, sf_dir):
 
 
 @register("onehot_label", with_views(
-    "SELECT id, " + ", ".join(f"CAST(coalesce(label = '{v}', false) AS INTEGER) AS \"Label_{v}\"" for v in "FOP")
+    "SELECT id, " + ", ".join(f"CAST(coalesce({strip_sql('label')}, '') = '{v}' AS INTEGER) AS \"Label_{v}\"" for v in "FOP")
     + " FROM survey", "survey"))
 def q_onehot_label(spark, sf_dir):
     """C5 + P4: one 0/1 column per class, then the ``Label_`` columns by prefix."""

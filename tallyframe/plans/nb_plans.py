@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +20,35 @@ TRAIN_BUCKETS = 8000  # 80 / 20 split on the md5 bucket
 
 @dataclass
 class NBRun:
+    """Rows of a view; the fit and the scores are made when first asked for."""
+
     classes: list[str]
     rows: DataFrame      # (id, text, y, bucket)
     present: DataFrame   # distinct (id, y, bucket, token)
-    model: nb.NBModel
-    scores: DataFrame    # test rows: (id, y, s)
+    a_class: float
+    a: float
+    b: float
+
+    @property
+    def train(self) -> DataFrame:
+        return self.rows.where(F.col("bucket") < TRAIN_BUCKETS)
+
+    @property
+    def train_present(self) -> DataFrame:
+        return self.present.where(F.col("bucket") < TRAIN_BUCKETS)
+
+    @cached_property
+    def prior(self) -> list[float]:
+        counts = nb.class_counts(self.train, len(self.classes))
+        return [(c + self.a_class) / (sum(counts) + len(counts) * self.a_class) for c in counts]
+
+    @cached_property
+    def model(self) -> nb.NBModel:
+        return nb.fit(self.train_present, self.train.select("id", "y"), self.classes, self.a_class, self.a, self.b)
+
+    @cached_property
+    def scores(self) -> DataFrame:  # test rows: (id, y, s)
+        return nb.score(self.present.where(F.col("bucket") >= TRAIN_BUCKETS), self.model, keep=["y"])
 
 
 def labeled_rows(d: DataFrame, classes: list[str]) -> DataFrame:
@@ -35,10 +60,7 @@ def nb_run(spark, sf_dir, view=views.docs, a_class=1.0, a=1.0, b=3.0) -> NBRun:
     classes = class_list(d)
     rows = labeled_rows(d, classes)
     present = nb.present_table(rows, keep=["y", "bucket"])
-    train = F.col("bucket") < TRAIN_BUCKETS
-    model = nb.fit(present.where(train), rows.where(train).select("id", "y"), classes, a_class, a, b)
-    scores = nb.score(present.where(~train), model, keep=["y"])
-    return NBRun(classes, rows, present, model, scores)
+    return NBRun(classes, rows, present, a_class, a, b)
 
 
 def nb_sql_ctes(view: str = "docs", a_class: float = 1.0, a: float = 1.0, b: float = 3.0) -> list[tuple[str, str]]:
@@ -78,14 +100,12 @@ def _nb_sql(body: str, view: str = "docs", **kw) -> str:
 @register("nb_prior", _nb_sql("SELECT cls.label, round(prior.pi, 6) AS pi FROM prior JOIN cls ON prior.y = cls.y"))
 def q_nb_prior(spark, sf_dir):
     r = nb_run(spark, sf_dir)
-    rows = [(c, round(p, 6)) for c, p in zip(r.classes, r.model.prior)]
+    rows = [(c, round(p, 6)) for c, p in zip(r.classes, r.prior)]
     return spark.createDataFrame(rows, "label string, pi double")
 
 
 def _long_theta(r: NBRun, col: str, alias: str, value=lambda c: c) -> DataFrame:
-    t = r.model.theta
-    if col == "n":
-        t = nb.token_class_counts(r.present.where(F.col("bucket") < TRAIN_BUCKETS), r.model.k)
+    t = nb.token_class_counts(r.train_present, len(r.classes)) if col == "n" else r.model.theta
     ex = t.select("token", F.posexplode(col).alias("y", "v"))
     return ex.select("token", name_of("y", r.classes).alias("label"), value(F.col("v")).alias(alias))
 

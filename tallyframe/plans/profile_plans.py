@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from tallyframe.functions import round6
 from tallyframe.operators import categories as cat
 from tallyframe.operators import profile
-from tallyframe.operators.labels import class_list
-from tallyframe.plans.oracle_views import options_sql, with_views
+from tallyframe.operators.labels import class_list, clean_label
+from tallyframe.plans.oracle_views import options_sql, strip_sql, with_views
 from tallyframe.plans.registry import register
 from tallyframe.sources import views
 
@@ -114,7 +114,8 @@ def q_kde_price(spark, sf_dir):
 _OPT_BY_LABEL = with_views(
     "SELECT option, " + ", ".join(f"count(*) FILTER (WHERE label = '{v}') AS \"{v}\"" for v in "FOP")
     + " FROM opts GROUP BY option", "survey",
-    extra=[("opts", f"SELECT DISTINCT id, label, unnest({options_sql('setting')}) AS option FROM survey")])
+    extra=[("opts", f"SELECT DISTINCT id, coalesce({strip_sql('label')}, '') AS label, "
+                    f"unnest({options_sql('setting')}) AS option FROM survey")])
 
 
 @register("option_by_label", _OPT_BY_LABEL)
@@ -122,6 +123,7 @@ def q_option_by_label(spark, sf_dir):
     """Multi-select options counted for each label, 0 where absent."""
     s = views.survey(spark, sf_dir)
     classes = class_list(s)
+    s = s.withColumn("label", clean_label("label"))
     opts = cat.option_long(s, ["setting"], keep=["label"])
     return profile.counts_by_label(opts, "option", classes)
 
@@ -156,9 +158,9 @@ _PIVOT_SQL = with_views(
 
 @register("leaderboard_pivot", _PIVOT_SQL)
 def q_leaderboard_pivot(spark, sf_dir):
-    """Mean score by (feature, feature_type) x model, one scan and one
-    aggregate (the pivot values are given, so no extra job computes them
-    from the data and the output schema is fixed)."""
+    """Mean score by (feature, feature_type) x model; the models are
+    those of the data, so none is left out."""
     s = views.scores(spark, sf_dir)
-    pv = profile.pivot_mean(s, ["feature", "feature_type"], "model", MODELS, "score")
-    return pv.select("feature", "feature_type", *[round6(m).alias(m) for m in MODELS])
+    models = [r[0] for r in s.select("model").where("model is not null").distinct().orderBy("model").collect()]
+    pv = profile.pivot_mean(s, ["feature", "feature_type"], "model", models, "score")
+    return pv.select("feature", "feature_type", *[round6(f"`{m}`").alias(m) for m in models])
