@@ -11,7 +11,6 @@ sources    table loaders, fixture views, CSV/parquet readers and sinks
 functions  column expressions (number parsing, tokens, hashing, ordinal maps)
 operators  cleaning, profiling, text features, splits, models, searches
 plans      the registered queries and their DuckDB oracle SQL
-streaming  (the reference has no streaming; see its module docstring)
 """
 
 from tallyframe.session import get_session, ensure_checkpoint_dir

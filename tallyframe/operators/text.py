@@ -105,7 +105,6 @@ def option_table(df: DataFrame, col: str, id_col: str = "id", keep: Sequence[str
     return df.select(F.col(id_col).alias("id"), *keep, F.explode(arr).alias("option"))
 
 
-DEFAULT_STOP_WORDS = STOP_WORDS
 
 
 def tfidf_fit_transform(df: DataFrame, stop_words: Sequence[str] | None = STOP_WORDS, min_count: int = 2,

@@ -1,5 +1,6 @@
 """Rows-only queries: shape and invariants at sf0.001."""
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as E
@@ -42,3 +43,66 @@ def test_anova_p_in_range(spark):
 def test_forest_accuracy_row(spark):
     r = Q["forest_fit"](spark, SF_SMALL).first()
     assert r["n_test"] > 0 and 0 <= r["accuracy"] <= 1
+
+
+@pytest.fixture(scope="module")
+def survey(spark):
+    from tallyframe.plans.model_plans import survey_data
+    return survey_data(spark, SF_SMALL)
+
+
+def _gradient(rows, w, b, reg):
+    """Norm of the gradient of the regularised mean log-loss at (w, b), and at zero."""
+    x = np.array([r["features"].toArray() for r in rows])
+    y = np.eye(len(b))[[int(r["y"]) for r in rows]]
+
+    def norm(w, b):
+        z = x @ w.T + b
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        return np.linalg.norm((p - y).T @ x / len(x) + reg * w)
+    return norm(w, b), norm(np.zeros_like(w), np.zeros_like(b))
+
+
+@pytest.mark.parametrize("name,c,share", [("softmax_fit", 1.0, 8000), ("refit_all", 10.0, 10000)])
+def test_fitted_softmax_is_near_a_minimum(spark, name, c, share):
+    from tallyframe.plans.model_plans import survey_data
+    d = survey_data(spark, SF_SMALL, fit_on_train=name == "softmax_fit")
+    table = Q[name](spark, SF_SMALL).collect()
+    rows = d.vectors.where(f"bucket < {share}").collect()
+    w, b = np.zeros((len(d.classes), d.model.width)), np.zeros(len(d.classes))
+    for r in table:
+        if r["feature"] < 0:
+            b[d.classes.index(r["label"])] = r["w"]
+        else:
+            w[d.classes.index(r["label"]), r["feature"]] = r["w"]
+    here, zero = _gradient(rows, w, b, 1.0 / (c * len(rows)))
+    assert here < 0.05 * zero
+
+
+def test_stacked_probabilities_sum_to_one(spark):
+    p = Q["cat_stacked"](spark, SF_SMALL).groupBy("id", "question").agg({"prob": "sum"})
+    assert all(abs(r[2] - 1) < 1e-4 for r in p.collect())
+
+
+@pytest.mark.parametrize("name", ["ovr_logistic", "forest_fit", "pipeline_train", "hybrid_train"])
+def test_accuracies_are_shares(spark, name):
+    r = Q[name](spark, SF_SMALL).first()
+    assert r["n_test"] > 0 and 0 <= r["accuracy"] <= 1
+
+
+def test_hybrid_predicts_every_held_out_row(spark, survey):
+    pred = Q["hybrid_predict"](spark, SF_SMALL)
+    assert pred.count() == survey.rows.where("bucket >= 8000").count()
+    assert {r[0] for r in pred.select("pred_label").distinct().collect()} <= set(survey.classes)
+
+
+def test_search_winners(spark):
+    rows = Q["lr_search"](spark, SF_SMALL).collect()
+    assert len(rows) == 5 and all(0 <= r["cv_accuracy"] <= 1 for r in rows)
+    masks = Q["lr_subset_search"](spark, SF_SMALL).collect()
+    assert sorted(r["mask"] for r in masks) == list(range(1, 8)) and len({r["n_validation"] for r in masks}) == 1
+    cands = Q["representation_search"](spark, SF_SMALL).collect()
+    assert len(cands) == 16 and sum(r["best"] for r in cands) == 1
+    best = next(r for r in cands if r["best"])
+    assert best["accuracy"] == max(r["accuracy"] for r in cands)

@@ -155,3 +155,71 @@ def test_quantiles_with_a_hot_value(spark):
     q = {r["q"]: r["value"] for r in profile.exact_quantiles(df, "x", [0.1, 0.5, 0.9]).collect()}
     for p in (0.1, 0.5, 0.9):
         assert q[p] == pytest.approx(np.percentile(vals, p * 100))
+
+
+def test_null_groups_keep_their_rows(spark):
+    from tallyframe.operators.profile import boxplot_stats, describe
+    from tallyframe.operators.split import stratified_folds
+    rows = [(i, None if i % 4 == 0 else f"c{i % 3}", float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, label string, x double")
+    folds = stratified_folds(df, 5).collect()
+    assert len(folds) == 100
+    missing = [r["fold"] for r in folds if r["label"] is None]
+    assert sorted(missing) == sorted(list(range(5)) * 5)
+    box = {r["label"]: r for r in boxplot_stats(df, "x", ["label"]).collect()}
+    assert None in box and box[None]["median"] == 48.0 and box[None]["n"] == 25
+    summary = {r["label"]: r for r in describe(df, "x", ["label"]).collect()}
+    assert summary[None]["q50"] == 48.0 and summary[None]["count"] == 25
+
+
+def test_positions_do_not_depend_on_the_number_of_ranges(spark):
+    df = spark.range(3000).selectExpr("id", "pmod(hash(id), 7) AS g", "pmod(hash(id, 1), 1000) AS v")
+    got = [sorted(tuple(r) for r in positions(df, ["v", "id"], ["g"], name="p", num_partitions=n).collect()) for n in (1, 8, 200)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_exact_split_sizes(spark):
+    from tallyframe.operators.split import exact_split
+    for n in (0, 1, 7, 250):
+        df = spark.range(n).withColumnRenamed("id", "id")
+        assert exact_split(df, 0.8).where("split = 'train'").count() == int(0.8 * n)
+
+
+def test_strict_number_rejects_type_suffixes(spark):
+    from tallyframe.functions.numbers import num_strict
+    df = spark.createDataFrame([("1d",), ("5f",), ("1,200",), (" 3.5 ",), ("1e3",), (".5",), ("x",), ("",), (None,)], "s string")
+    assert [r[0] for r in df.select(num_strict("s")).collect()] == [None, None, 1200.0, 3.5, 1000.0, 0.5, None, None, None]
+
+
+def test_rows_without_known_features_score(spark):
+    from tallyframe.operators import linear, svd
+    feats = spark.createDataFrame([(1, 0, 2.0), (2, 9, 1.0)], "id long, feature long, value double")
+    w = spark.createDataFrame([(0, [1.0, -1.0])], "feature long, w array<double>")
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    z = {r["id"]: r["z"] for r in linear.linear_scores(feats, w, [0.5, 0.25], ids).collect()}
+    assert z == {1: [2.5, -1.75], 2: [0.5, 0.25], 3: [0.5, 0.25]}
+    v = {(r["id"], r["component"]): r["value"] for r in svd.project(feats, w.withColumnRenamed("w", "v"), 2, ids).collect()}
+    assert v[1, 0] == 2.0 and v[3, 1] == 0.0 and len(v) == 6
+
+
+def test_sparse_vectors_of_a_wide_vocabulary(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from tallyframe.operators import linear
+    width = 50_000
+    feats = spark.createDataFrame([(i, (i * 7919) % width, 1.0) for i in range(50)] + [(i, width - 1 - i % 5, 2.0) for i in range(50)],
+                                  "id long, feature long, value double")
+    rows = spark.createDataFrame([(i, float(i % 5)) for i in range(55)], "id long, y double")
+    v = linear.to_vectors(feats, width, keep=rows)
+    got = {r["id"]: r["features"] for r in v.collect()}
+    assert got[3].size == width and dict(zip(got[3].indices.tolist(), got[3].values.tolist())) == {(3 * 7919) % width: 1.0, width - 4: 2.0}
+    assert got[54].numNonzeros() == 0
+    m = LogisticRegression(labelCol="y", maxIter=10).fit(v)
+    assert m.numClasses == 5 and m.transform(v).count() == 55
+
+
+def test_labels_are_cleaned_on_both_sides(spark):
+    from tallyframe.operators.labels import class_list, one_hot_label
+    df = spark.createDataFrame([(1, " P "), (2, "P"), (3, None), (4, "O")], "id long, label string")
+    out = {r["id"]: r.asDict() for r in one_hot_label(df, class_list(df)).collect()}
+    assert out[1]["Label_P"] == out[2]["Label_P"] == 1 and out[3]["Label_"] == 1 and out[4]["Label_O"] == 1
+    assert all(sum(v for k, v in r.items() if k != "id") == 1 for r in out.values())
