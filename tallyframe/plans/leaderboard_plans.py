@@ -11,13 +11,17 @@ feature_type).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions import md5_bucket, num_mean, round6, split_options, tokens
 from tallyframe.operators import nb
 from tallyframe.operators.labels import class_list, index_of
-from tallyframe.plans.nb_search_plans import CANDIDATES
+from tallyframe.operators.search import role_candidates
+from tallyframe.plans.nb_search_plans import CANDIDATES, _grouped_sql as grouped_sql
+from tallyframe.plans.oracle_views import n1_sql, with_views, words_sql
 from tallyframe.plans.registry import register
 from tallyframe.sources import views
 from tallyframe.sources.views import QUESTIONS
@@ -78,15 +82,48 @@ def q_leaderboard(spark, sf_dir):
 ROLE_QUESTIONS = ["complexity", "ingredients", "price"]
 
 
-@register("role_assignment_search")
+def _roles(candidate: dict[str, list[str]]) -> list[str]:
+    return ["both" if q in candidate["num"] and q in candidate["text"] else "num" if q in candidate["num"] else "text"
+            for q in ROLE_QUESTIONS]
+
+
+def _tokens_sql(question: str, rep: str) -> str:
+    if rep == "numerical":
+        n = n1_sql(question)
+        return f"(CASE WHEN {n} IS NULL THEN []::VARCHAR[] ELSE ['n=' || CAST(CAST(floor({n}) AS BIGINT) AS VARCHAR)] END)"
+    return words_sql(question)
+
+
+def _role_sql() -> str:
+    cells = [(q, r) for q in ROLE_QUESTIONS for r in ("numerical", "text")]
+    cands = role_candidates(ROLE_QUESTIONS)
+    ctes = [(name, sql) for name, sql in grouped_sql(ROLE_QUESTIONS, a=1.0, b=1.0)]
+    stack = " UNION ALL ".join(f"SELECT id, y, bucket, '{q}/{r}' AS question, unnest({_tokens_sql(q, r)}) AS token FROM sy" for q, r in cells)
+    new = {"st": "SELECT 1 AS unused", "pres": f"SELECT DISTINCT * FROM ({stack})",
+           "qs": "SELECT * FROM (VALUES " + ", ".join(f"('{q}/{r}', {i})" for i, (q, r) in enumerate(cells)) + ") t(question, qi)"}
+    chosen = ", ".join(f"({i}, '{q}/{r}')" for i, c in enumerate(cands)
+                       for r, kind in (("numerical", "num"), ("text", "text")) for q in c[kind])
+    roles = ", ".join(f"({i}, " + ", ".join(f"'{x}'" for x in _roles(c)) + ")" for i, c in enumerate(cands))
+    names = ", ".join(f"{q}_role" for q in ROLE_QUESTIONS)
+    return with_views(f"""
+SELECT h.cand, count(*) AS n_test, round(avg(CASE WHEN pred = truth THEN 1.0 ELSE 0.0 END), 6) AS accuracy, {names} FROM (
+  SELECT id, truth, cand, y AS pred, row_number() OVER (PARTITION BY id, cand ORDER BY s DESC, y) AS rn FROM (
+    SELECT qp.id, qp.truth, ch.cand, qp.y, ln(prior.pi) + sum(qp.part) AS s
+    FROM qpart qp JOIN prior ON qp.y = prior.y JOIN chosen ch ON ch.question = qp.question
+    WHERE qp.bucket >= 8000 GROUP BY qp.id, qp.truth, ch.cand, qp.y, prior.pi)) h
+JOIN roles r ON r.cand = h.cand WHERE rn = 1 GROUP BY h.cand, {names}""", "survey",
+        extra=[(n, new.get(n, sql)) for n, sql in ctes] + [
+            ("chosen", f"SELECT * FROM (VALUES {chosen}) t(cand, question)"),
+            ("roles", f"SELECT * FROM (VALUES {roles}) t(cand, {names})")])
+
+
+@register("role_assignment_search", _role_sql())
 def q_role_assignment_search(spark, sf_dir):
     """Every assignment of a role (num / text / both) to each
     number-like question; a candidate's NB score is the prior plus the parts
     of its chosen cells (``q/numerical`` for num, ``q/text`` for text, both
     for both).  Parts are computed once per row and cell; candidates are a
     bounded fan-out of each row, then one aggregate by candidate."""
-    import math
-    from tallyframe.operators.search import role_candidates
     s = views.survey(spark, sf_dir)
     classes = class_list(s)
     k = len(classes)
@@ -119,8 +156,6 @@ def q_role_assignment_search(spark, sf_dir):
     acc = ex.select(F.col("c.cand").alias("cand"), hit.alias("hit")).groupBy("cand").agg(
         F.count(F.lit(1)).alias("n_test"), round6(F.avg("hit")).alias("accuracy"))
     roles = spark.createDataFrame(
-        [(i, *[("both" if q in c["num"] and q in c["text"] else "num" if q in c["num"] else "text")
-               for q in ROLE_QUESTIONS]) for i, c in enumerate(cands)],
+        [(i, *_roles(c)) for i, c in enumerate(cands)],
         "cand int, " + ", ".join(f"{q}_role string" for q in ROLE_QUESTIONS))
-    # candidate table: 3^n rows, bounded by the question count
-    return acc.join(F.broadcast(roles), "cand")
+    return acc.join(roles, "cand")

@@ -41,7 +41,8 @@ def _docs_rows(spark, sf_dir):
 
 
 def _present(rows: DataFrame, fold: F.Column) -> DataFrame:
-    return token_table(rows.withColumn("fold", fold), keep=["y", "fold"], distinct=True, outer=True)
+    # read by the counts and by the scores: tokenised once
+    return token_table(rows.withColumn("fold", fold), keep=["y", "fold"], distinct=True, outer=True).persist()
 
 
 def _search_sql(fold_expr: str, where: str, n_folds: int, cands, a_class: float = 1.0) -> list[tuple[str, str]]:
@@ -146,7 +147,8 @@ def _survey_parts(spark, sf_dir, questions, a=1.0, b=3.0):
     rows = s.select("id", index_of("label", classes).alias("y"), md5_bucket("id").alias("bucket"),
                     F.explode(F.array(*[F.struct(F.lit(q).alias("question"), F.col(q).alias("text"))
                                         for q in questions])).alias("qt")).select("id", "y", "bucket", "qt.*")
-    present = token_table(rows, keep=["y", "bucket", "question"], distinct=True, outer=True)
+    # read by the fit and by the scores: the view is built and tokenised once
+    present = token_table(rows, keep=["y", "bucket", "question"], distinct=True, outer=True).persist()
     train = F.col("bucket") < 8000
     labeled = s.select("id", index_of("label", classes).alias("y")).where(md5_bucket("id") < 8000)
     model = nb.fit_grouped(present.where(train), labeled, classes, "question", a=a, b=b)
@@ -199,6 +201,10 @@ def q_nb_stacked(spark, sf_dir):
     return p.select("id", "question", name_of("k", classes).alias("label"), round6("prob").alias("prob"))
 
 
+def _adds(part: F.Column):
+    return lambda s: F.zip_with(s, part, lambda u, v: u + v)
+
+
 _SUBSET_SQL = with_views("""
 SELECT mask, count(*) AS n, round(avg(CASE WHEN pred = truth THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM (
   SELECT id, truth, mask, y AS pred, row_number() OVER (PARTITION BY id, mask ORDER BY s DESC, y) AS rn FROM (
@@ -215,10 +221,9 @@ WHERE rn = 1 GROUP BY mask""", "survey", extra=_grouped_sql(QUESTIONS) + [
 def q_nb_subset_search(spark, sf_dir):
     """M22 (NB form): test accuracy of every non-empty question subset.
 
-    Each row's per-question parts are computed once; the 2^n - 1 masks are
-    a bounded fan-out of each row's part vector, summed where the bit is
-    set (``aggregate`` over the question index), then argmax and one
-    aggregate by mask."""
+    Each row's per-question parts are computed once; the scores of the masks
+    are made by doubling (question i is added to each of the first 2^i sums,
+    so place m of the array is mask m), then argmax and one aggregate by mask."""
     classes, present, model = _survey_parts(spark, sf_dir, QUESTIONS)
     k, nq = len(classes), len(QUESTIONS)
     test = present.where(F.col("bucket") >= 8000)
@@ -229,15 +234,11 @@ def q_nb_subset_search(spark, sf_dir):
     import math
     logpi = F.array(*[F.lit(math.log(p)) for p in model.prior])
     zero = F.array(*[F.lit(0.0)] * k)
-    masks = F.sequence(F.lit(1).cast("bigint"), F.lit(2 ** nq - 1).cast("bigint"))
-    ex = per_id.select("id", "y", "pm", F.explode(masks).alias("mask"))
-
-    def add(acc, qi):
-        on = F.floor(F.col("mask") / F.pow(F.lit(2.0), qi)).cast("bigint") % 2 == 1
-        p = F.coalesce(F.element_at(F.col("pm"), qi), zero)
-        return F.when(on, F.zip_with(acc, p, lambda u, v: u + v)).otherwise(acc)
-
-    s = F.aggregate(F.sequence(F.lit(0), F.lit(nq - 1)), logpi, add)
-    hit = (nb.argmax(s) == F.col("y")).cast("double")
-    return (ex.select("mask", hit.alias("hit")).groupBy("mask")
+    sums = per_id.select("y", "pm", F.array(logpi).alias("sums"))
+    for i in range(nq):
+        part = F.coalesce(F.element_at("pm", F.lit(i)), zero)
+        sums = sums.withColumn("sums", F.concat("sums", F.transform("sums", _adds(part))))
+    hits = F.transform("sums", lambda s: (nb.argmax(s) == F.col("y")).cast("double"))
+    ex = sums.select(F.posexplode(hits).alias("m", "hit")).select(F.col("m").cast("bigint").alias("mask"), "hit").where("mask > 0")
+    return (ex.groupBy("mask")
             .agg(F.count(F.lit(1)).alias("n"), round6(F.avg("hit")).alias("accuracy")))
