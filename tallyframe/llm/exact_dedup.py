@@ -97,8 +97,9 @@ def exact_dedup(docs: DataFrame, capacity: int = BUCKET_KEYS, key_digits: int =
     placed.repartitionByRange("bucket", "key").write.parquet(f"{index_dir}/entries")
     index = spark.read.schema(placed.schema).parquet(f"{index_dir}/entries")
 
-    # bytes compared: the distinct texts under each key that more than one row has
-    several = index.where("group_size > 1").select("key")
+    # bytes compared: the distinct texts under each key that more than one row has;
+    # always by a shuffle, as a broadcast of these keys would grow with the corpus
+    several = index.where("group_size > 1").select("key").hint("merge")
     texts = source.select(norm.alias("norm")).withColumn("key", key(F.sha2(F.col("norm").cast("binary"), 256)))
     met = texts.join(several, "key", "left_semi").distinct()
     collided = shared(met.groupBy("key").agg(F.count("*").alias("texts")).where("texts > 1").select("key"))
