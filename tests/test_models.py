@@ -79,7 +79,7 @@ def test_stacked_probabilities_sum_to_one(spark):
     assert all(abs(r[2] - 1) < 1e-4 for r in p.collect())
 
 
-@pytest.mark.parametrize("name", ["ovr_logistic", "forest_fit", "pipeline_train"])
+@pytest.mark.parametrize("name", ["ovr_logistic", "pipeline_train"])
 def test_accuracies_are_shares(spark, name):
     r = Q[name](spark, SF_SMALL).first()
     assert r["n_test"] > 0 and 0 <= r["accuracy"] <= 1
