@@ -29,6 +29,7 @@ import heapq
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +38,18 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import bucket_of_id, pick, prepare
 
-VOCABULARY = 2048
-CLASS_WORDS = 64
-HIDDEN = 24
+VOCABULARY = 1024
+CLASS_WORDS = 32
+HIDDEN = 16
 STEPS = 16
-LANES = 128
+LANES = 512
 WARM_DOCS = 1000
 WARM_EPOCHS = 3
 #: Words whose counts go to every task: at most 131,072 words and numbers.
 HEAD = 131_072
 #: Distinct words a task holds before it passes its counts on, tokens it scores at once.
 COUNT_WORDS = 200_000
-SCORE_TOKENS = 1_000_000
+SCORE_TOKENS = 1_500_000
 SMOOTH = 0.1
 #: Floats of one row of network weights on their way to the mean.
 CHUNK = 8192
@@ -104,29 +105,39 @@ class Network:
         return self
 
     def run(self, h: np.ndarray, x: np.ndarray, keep: np.ndarray, record: bool = False):
-        """States of each step (T, B, H); ``keep`` is 0 where a document starts."""
-        k, states, tape = self.hidden, np.empty((*x.shape, self.hidden), np.float32), []
-        gates = self.inputs[x]
+        """States of each step (T, B, H); ``keep`` is 0 where a document starts.
+
+        Gates are (1 + tanh) / 2.
+        """
+        k, states, tape = self.hidden, np.empty((*x.shape, self.hidden), self.state.dtype), []
+        into, fresh = self.inputs[x], ~keep.all(axis=1)
+        into_gates, into_new = into[:, :, :2 * k], into[:, :, 2 * k:]
         for t in range(len(x)):
-            h = h * keep[t][:, None]
+            if fresh[t]:
+                h = h * keep[t][:, None]
             u = h @ self.state
-            zr = 1 / (1 + np.exp(-(gates[t, :, :2 * k] + u[:, :2 * k])))
-            z, r = zr[:, :k], zr[:, k:]
-            n = np.tanh(gates[t, :, 2 * k:] + r * u[:, 2 * k:])
+            zr = np.tanh(u[:, :2 * k] + into_gates[t])
+            zr += 1
+            zr *= 0.5
+            z, carried = zr[:, :k], u[:, 2 * k:]
+            n = zr[:, k:] * carried
+            n += into_new[t]
+            np.tanh(n, out=n)
             if record:
-                tape.append((h, z, r, n, u[:, 2 * k:]))
-            h = n + z * (h - n)
-            states[t] = h
+                tape.append((h, z, zr[:, k:], n, carried))
+            d = h - n
+            d *= z
+            h = np.add(n, d, out=states[t])
         return h, states, tape
 
     def log_chances(self, states: np.ndarray, y: np.ndarray, grads: dict | None = None):
         """Natural logs of the targets' chances; fills gradients of the output layer."""
         of = np.minimum(y // CLASS_WORDS, self.classes) if self.size % CLASS_WORDS == 0 else np.where(y == self.size, self.classes, y // CLASS_WORDS)
         rows = np.arange(len(y))
+        # states are within -1..1 and weights small, so no logit comes near the range of exp
         logits = states @ self.class_w + self.class_b
-        logits -= logits.max(axis=1, keepdims=True)
         e = np.exp(logits)
-        total = e.sum(axis=1)
+        total = e @ np.ones(e.shape[1], e.dtype)
         out = logits[rows, of] - np.log(total)
         if grads is not None:
             e /= total[:, None]
@@ -134,7 +145,7 @@ class Network:
             grads["class_w"], grads["class_b"] = states.T @ e, e.sum(axis=0)
             back = e @ self.class_w.T
             grads["word_w"], grads["word_b"] = np.zeros_like(self.word_w), np.zeros_like(self.word_b)
-        order = np.argsort(of, kind="stable")
+        order = np.argsort(of.astype(np.int16), kind="stable")
         edges = np.searchsorted(of[order], np.arange(self.classes + 1))
         for c in range(self.classes):
             at = order[edges[c]:edges[c + 1]]
@@ -142,9 +153,8 @@ class Network:
                 continue
             s, target, few = states[at], y[at] - c * CLASS_WORDS, np.arange(len(at))
             q = s @ self.word_w[c].T + self.word_b[c]
-            q -= q.max(axis=1, keepdims=True)
             e = np.exp(q)
-            total = e.sum(axis=1)
+            total = e @ np.ones(e.shape[1], e.dtype)
             out[at] += q[few, target] - np.log(total)
             if grads is not None:
                 e /= total[:, None]
@@ -164,8 +174,8 @@ class Network:
             before, z, r, n, u = tape[t]
             d = d + back[t]
             d_n = d * (1 - z) * (1 - n * n)
-            d_z = d * (before - n) * z * (1 - z)
-            d_r = d_n * u * r * (1 - r)
+            d_z = d * (before - n) * 2 * z * (1 - z)
+            d_r = d_n * u * 2 * r * (1 - r)
             into[t, :, :k], into[t, :, k:2 * k], into[t, :, 2 * k:] = d_z, d_r, d_n
             d_u = np.concatenate([d_z, d_r, d_n * r], axis=1)
             d_state += before.T @ d_u
@@ -197,7 +207,7 @@ class Trainer:
         x[starts] = end_id
         length = len(y) // lanes
         x, y, keep = (a[:lanes * length].reshape(lanes, length).T for a in (x, y, keep))
-        h = np.zeros((lanes, self.network.hidden), np.float32)
+        h = np.zeros((lanes, self.network.hidden), self.network.state.dtype)
         for t in range(0, length, STEPS):
             wx, wy, wk = (np.ascontiguousarray(a[t:t + STEPS]) for a in (x, y, keep))
             h, grads, loss = self.network.gradients(h, wx, wy, wk)
@@ -218,7 +228,7 @@ class Trainer:
 
 def packed(lengths: list[int], most: int) -> list[list[int]]:
     """Documents dealt to lanes: longest first, to the lane with least so far."""
-    lanes = max(1, min(most, len(lengths), sum(lengths) // max(1, max(lengths))))
+    lanes = max(1, min(most, len(lengths)))
     heap, out = [(0, i) for i in range(lanes)], [[] for _ in range(lanes)]
     for d in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
         load, lane = heapq.heappop(heap)
@@ -227,34 +237,33 @@ def packed(lengths: list[int], most: int) -> list[list[int]]:
     return sorted(out, key=lambda ds: -sum(lengths[d] for d in ds))
 
 
-def document_logs(network: Network, docs: list[np.ndarray], steps: int = 64, most: int = 256) -> np.ndarray:
+def document_logs(network: Network, docs: list[np.ndarray], steps: int = 32, most: int = 512) -> np.ndarray:
     """Natural log-likelihood of each whole document (other words: of their class)."""
     if not docs:
         return np.zeros(0)
     lanes = packed([len(d) for d in docs], most)
-    end_id = int(docs[0][-1])
-    loads = [sum(len(docs[d]) for d in lane) for lane in lanes]
-    x = np.zeros((loads[0], len(lanes)), np.int32)
-    y, owner = np.zeros_like(x), np.zeros_like(x)
-    keep = np.ones(x.shape, np.float32)
-    for b, lane in enumerate(lanes):
-        at = 0
-        for d in lane:
-            n = len(docs[d])
-            y[at:at + n, b], owner[at:at + n, b] = docs[d], d
-            x[at, b], x[at + 1:at + n, b] = end_id, docs[d][:-1]
-            keep[at, b] = 0
-            at += n
+    order = [d for lane in lanes for d in lane]
+    lengths = np.array([len(docs[d]) for d in order])
+    y = np.concatenate([docs[d] for d in order])
+    starts = np.cumsum(lengths) - lengths
+    x = np.concatenate((y[-1:], y[:-1]))
+    x[starts] = y[-1]  # every document ends with the same id, and starts from it
+    keep = np.ones(len(y), np.float32)
+    keep[starts] = 0
+    owner = np.repeat(order, lengths)
+    loads = np.array([sum(len(docs[d]) for d in lane) for lane in lanes])
+    first = np.cumsum(loads) - loads
     out = np.zeros(len(docs))
-    h = np.zeros((len(lanes), network.hidden), np.float32)
-    loads = np.array(loads)
-    for t in range(0, len(x), steps):
+    h = np.zeros((len(lanes), network.hidden), network.state.dtype)
+    for t in range(0, int(loads[0]), steps):
         live = int((loads > t).sum())  # lanes come with the longest first
-        w = slice(t, t + steps)
-        h, states, _ = network.run(h[:live], x[w, :live], keep[w, :live])
-        inside = (np.arange(t, t + len(states))[:, None] < loads[None, :live]).ravel()
-        logs = network.log_chances(states.reshape(-1, network.hidden)[inside], y[w, :live].ravel()[inside])
-        out += np.bincount(owner[w, :live].ravel()[inside], logs, len(docs))
+        step = np.arange(t, min(t + steps, int(loads[0])))[:, None]
+        inside = step < loads[None, :live]
+        at = np.minimum(first[None, :live] + step, len(y) - 1)
+        h, states, _ = network.run(h[:live], x[at], keep[at])
+        at = at[inside]
+        logs = network.log_chances(states[inside], y[at])
+        out += np.bincount(owner[at], logs, len(docs))
     return out
 
 
@@ -281,23 +290,16 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Ids(dict):
-    """Word -> rank among the head's words; -1 for the others."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
-def vocabulary_ids(ranks: np.ndarray, size: int) -> np.ndarray:
-    return np.where((ranks < 0) | (ranks >= size), size, ranks).astype(np.int32)
+def ranks_of(words: list[bytes], ranks: dict[bytes, int], other: int) -> np.ndarray:
+    return np.fromiter(map(ranks.get, words, repeat(other)), np.int32, len(words))
 
 
-def token_groups(texts, ids: Ids, size: int, most: int):
+def token_groups(texts, ids: dict[bytes, int], size: int, most: int):
     """Lists of documents (as vocabulary ids) of about ``most`` tokens."""
     held, tokens = [], 0
     for text in texts:
         words = words_of(text)
-        held.append(vocabulary_ids(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)), size))
+        held.append(ranks_of(words, ids, size))
         tokens += len(words)
         if tokens >= most:
             yield held
@@ -349,7 +351,7 @@ def fit(docs: DataFrame, folder: str, vocabulary: int = VOCABULARY) -> tuple[Mod
     network = Network(n[:size], others[0])
     if total == 0:
         return Model(words, n, 0, 0, network, others), counts
-    known = Ids({w: i for i, w in enumerate(words[:size])})
+    known = {w: i for i, w in enumerate(words[:size])}
 
     def warm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t for b in batches for t in b.column(0).to_pylist()]  # WARM_DOCS rows at most
@@ -366,7 +368,7 @@ def fit(docs: DataFrame, folder: str, vocabulary: int = VOCABULARY) -> tuple[Mod
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(network, 0.02)
-        for held in token_groups((t for b in batches for t in b.column(0).to_pylist()), known, size, SCORE_TOKENS // 4):
+        for held in token_groups((t for b in batches for t in b.column(0).to_pylist()), known, size, SCORE_TOKENS // 5):
             trainer.train(held)
         if trainer.tokens:
             flat = network.flat().astype(np.float64) * trainer.tokens
@@ -396,7 +398,7 @@ def score_rows(docs: DataFrame, model: Model) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        size, ids = m.network.size, Ids({w: i for i, w in enumerate(m.words)})
+        size, ids = m.network.size, {w: i for i, w in enumerate(m.words)}
         logs = np.append(np.log10(m.counts + SMOOTH), 0.0)  # the last: beyond the head
         seen = np.append(m.counts > 0, False)
 
@@ -413,7 +415,7 @@ def score_rows(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(text)
-                ranks = np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
+                ranks = ranks_of(words, ids, -1)
                 outside = (ranks < 0) | (ranks >= size)
                 far = np.flatnonzero(ranks < 0)
                 rows.append((doc, len(words), int(seen[ranks].sum()), float(logs[ranks].sum()), float(logs[ranks[outside]].sum()),
