@@ -38,11 +38,11 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import bucket_of_id, pick, prepare
 
-VOCABULARY = 1024
-CLASS_WORDS = 32
-HIDDEN = 16
+VOCABULARY = 2048
+CLASS_WORDS = 64
+HIDDEN = 24
 STEPS = 16
-LANES = 512
+LANES = 128
 WARM_DOCS = 1000
 WARM_EPOCHS = 3
 #: Words whose counts go to every task: at most 131,072 words and numbers.

@@ -197,6 +197,26 @@ def test_lm_without_training_rows(spark):
     assert abs(r["base_score"]) < 1e-9 and np.isfinite(r["score"])
 
 
+def test_lm_network_keeps_its_size(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"v{rng.randrange(3000)}" for _ in range(100))) for i in range(300)]
+    net = lm.fit(table(spark, rows), str(tmp_path))[0].network
+    assert (net.size, net.hidden, net.word_w.shape) == (2048, 24, (32, 64, 24))
+
+
+def test_lm_updates_per_text(monkeypatch):
+    steps = []
+    monkeypatch.setattr(lm.Trainer, "step", lambda self, grads, tokens: steps.append(tokens))
+    lm.Trainer(lm.Network(np.arange(9, 0, -1), 5.0), 0.02).train([np.arange(8, dtype=np.int32)] * 8192)
+    assert steps == [2048] * 32
+
+
+def test_lm_beats_the_base_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    r = lm.lm_score(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert r[0] > r[1]
+
+
 def test_lm_gradients_and_whole_documents():
     net = lm.Network(np.array([50, 30, 20, 10, 5]), 7.0, hidden=4)
     rng = np.random.default_rng(0)
