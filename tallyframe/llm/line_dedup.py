@@ -2,13 +2,13 @@
 
 Documents overlap when they share a line.  Every line belongs to the first
 document (smallest id) that has it, and a later document is paired with the
-owners of its lines, so each line makes one pair for each later document and
-no group of copies is paired with itself.  A pair's common lines are aligned
-with patience diff: lines that are rare in the pair (once in either document)
-are anchors, the longest run of anchors in the same order holds, and the gaps
-between them are aligned in turn.  The aligned blocks are deleted from the
-later document.  No line is too frequent to count: its rows are joined with
-one owner row, and the owner's text never travels.
+owners of its lines and with the first document of the very same lines, so
+each line makes one pair for each later document and no group of copies is
+paired with itself.  All lines that a pair shares are aligned with patience
+diff, whoever owns them: lines that are rare in the pair (once in either
+document) are anchors, the longest run of anchors in the same order holds, and
+the gaps between them are aligned in turn.  The aligned blocks are deleted
+from the later document.  No line is too frequent to count.
 
 Lines are compared without surrounding white space; lines without any other
 character are neither compared nor deleted.
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
@@ -32,12 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tallyframe.llm.common import pick
+from tallyframe.llm.common import pick, stored
 
 #: Stands for the id of rows without one.
 LAST = (1 << 63) - 1
 
-Line = tuple[int, bytes]
+#: Stands for a line that isn't compared.
+BLANK = -1
 
 
 def lines_of(text: str | None) -> dict[bytes, list[int]]:
@@ -49,6 +49,11 @@ def lines_of(text: str | None) -> dict[bytes, list[int]]:
     return out
 
 
+def line_digests(text: str) -> list[int]:
+    """A digest of each line, in order; ``BLANK`` for lines without other characters than white space."""
+    return [xxhash.xxh3_64_intdigest(line.encode()) - (1 << 63) if line else BLANK for line in map(str.strip, text.split("\n"))]
+
+
 def longest_rising(values: list[int]) -> list[int]:
     """Places of a longest strictly rising subsequence."""
     tops: list[int] = []
@@ -96,61 +101,57 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(set(pairs))
 
 
-def aligned_places(shared: list[dict]) -> list[int]:
-    """Places to delete, from a later document's (owner, here, there) rows."""
-    by_owner: dict[int, list[dict]] = {}
-    for row in sorted(shared, key=lambda r: r["here"]):
-        by_owner.setdefault(row["owner"], []).append(row)
-    out: set[int] = set()
-    for rows in by_owner.values():
-        mine = sorted((p, k) for k, r in enumerate(rows) for p in r["here"])
-        theirs = sorted((p, k) for k, r in enumerate(rows) for p in r["there"])
-        for i, _ in patience([k for _, k in mine], [k for _, k in theirs]):
-            out.add(mine[i][0])
-    return sorted(out)
+def aligned_places(mine: list[int], theirs: list[int]) -> list[int]:
+    """Places of a later document's lines that align with an earlier one's; -1 stands for lines that aren't compared."""
+    both = (set(mine) & set(theirs)) - {BLANK}
+    a = [(p, x) for p, x in enumerate(mine) if x in both]
+    return [a[i][0] for i, _ in patience([x for _, x in a], [x for x in theirs if x in both])]
 
 
 def row_key(doc_id: Column, text: Column) -> list[Column]:
     return [F.coalesce(doc_id, F.lit(LAST)).cast("bigint").alias("doc"), F.xxhash64(text).alias("row")]
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc, row, line, places): a row for each distinct line of each row of docs.
+def line_lists(docs: DataFrame) -> DataFrame:
+    """(doc, row, lines): the lines of each row of docs as digests, in order; repeated rows once.
 
     ``row`` digests the whole text and tells rows with one id apart.
     """
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            doc, row, line, places = [], [], [], []
-            for d, r, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for digest, at in lines_of(text).items():
-                    doc.append(d)
-                    row.append(r)
-                    line.append(digest)
-                    places.append(at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(line, pa.binary()),
-                 pa.array(places, pa.list_(pa.int32()))], ["doc", "row", "line", "places"])
+    @arrow_udf("array<bigint>")
+    def digests(texts: pa.Array) -> pa.Array:
+        return pa.array([line_digests(t) for t in texts.to_pylist()], pa.list_(pa.int64()))
+
+    source = pick(docs, "doc_id", "text").where("text is not null")
+    return source.select(*row_key(F.col("doc_id"), F.col("text")), digests("text").alias("lines")).dropDuplicates(["doc", "row"])
 
-    source = pick(docs, "doc_id", "text").select(*row_key(F.col("doc_id"), F.col("text")), "text")
-    return source.mapInArrow(split, "doc bigint, row bigint, line binary, places array<int>")
+
+def pairs_of(lists: DataFrame) -> DataFrame:
+    """(doc, row, owner, owner_row): later rows and earlier ones that they are aligned with.
+
+    A line pairs a row with the first document that has it, the whole text
+    with the first document that has all the same lines.
+    """
+    compared = F.array_remove("lines", F.lit(BLANK))
+    keys = lists.select("doc", "row", F.explode(F.array_union(F.array_distinct(compared), F.array(F.xxhash64(compared, F.lit(1))))).alias("line"))
+    owners = (keys.groupBy("line").agg(F.min(F.struct("doc", "row")).alias("first"), F.count("*").alias("n")).where("n > 1")
+              .select("line", F.col("first.doc").alias("owner"), F.col("first.row").alias("owner_row")))
+    return (keys.join(owners, "line").where(F.col("doc") != F.col("owner"))
+            .select("doc", "row", "owner", "owner_row").distinct())
 
 
 def deletions(docs: DataFrame) -> DataFrame:
     """(doc, row, deleted): places of the lines that each later row loses."""
-    found = occurrences(docs)
-    owners = (found.groupBy("line").agg(F.min(F.struct("doc", "places")).alias("first"), F.count("*").alias("n"))
-              .where("n > 1").select("line", F.col("first.doc").alias("owner"), F.col("first.places").alias("there")))
-    shared = found.join(owners, "line").where(F.col("doc") != F.col("owner"))
+    lists = stored(line_lists(docs), "lines")
 
     @arrow_udf("array<int>")
-    def align(groups: pa.Array) -> pa.Array:
-        return pa.array([aligned_places(g) for g in groups.to_pylist()], pa.list_(pa.int32()))
+    def align(mine: pa.Array, theirs: pa.Array) -> pa.Array:
+        return pa.array([aligned_places(a, b) for a, b in zip(mine.to_pylist(), theirs.to_pylist())], pa.list_(pa.int32()))
 
-    # a set, as repeated rows bring the same lines again
-    each = shared.groupBy("doc", "row").agg(F.collect_set(F.struct("owner", F.col("places").alias("here"), "there")).alias("shared"))
-    return each.select("doc", "row", align("shared").alias("deleted"))
+    theirs = lists.select(F.col("doc").alias("owner"), F.col("row").alias("owner_row"), F.col("lines").alias("theirs"))
+    each = (pairs_of(lists).join(theirs, ["owner", "owner_row"]).join(lists, ["doc", "row"])
+            .select("doc", "row", align("lines", "theirs").alias("places")))
+    return each.groupBy("doc", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("deleted"))
 
 
 def cut_lines(docs: DataFrame) -> DataFrame:

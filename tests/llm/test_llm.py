@@ -417,6 +417,40 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(table(spark, [])).count() == 0
 
 
+def brute_whole_lines(rows):
+    """Every pair of a document and an owner of its lines or of its text, aligned on all the lines both have."""
+    order = lambda i: line_dedup.LAST if i is None else i
+    lists = {(order(i), t): [x.strip() for x in t.split("\n")] for i, t in rows if t is not None}
+    first = {}
+    for at, lines in sorted(lists.items()):
+        for key in {x for x in lines if x} | {tuple(x for x in lines if x)}:
+            first.setdefault(key, at)
+    out = []
+    for i, t in rows:
+        gone, lines = set(), lists.get((order(i), t), [])
+        for owner in {first[k] for k in [*filter(None, lines), tuple(x for x in lines if x)] if k in first}:
+            if owner[0] != order(i):
+                shared = set(lists[owner]) & set(lines) - {""}
+                a = [(p, x) for p, x in enumerate(lines) if x in shared]
+                gone |= {a[x][0] for x, _ in line_dedup.patience([x for _, x in a], [x for x in lists[owner] if x in shared])}
+        raw = t.split("\n") if t is not None else []
+        out.append((i, len(raw), len(gone), sha("\n".join(x for p, x in enumerate(raw) if p not in gone))))
+    return ordered(out)
+
+
+def test_copies_of_lines_that_others_own(spark):
+    rows = [(1, "H"), (2, "H\na\nH\nb"), (3, "H\na\nH\nb"),
+            (11, "p\nq"), (12, "r\np"), (13, "p\nr\n\nq\np"), (14, "p\nr\n\nq\np")]
+    got = {r["doc_id"]: r["text"].strip() for r in line_dedup.line_dedup(table(spark, rows)).collect()}
+    assert got[1] == "H" and got[3] == got[14] == ""
+
+
+def test_line_dedup_aligns_whole_documents(spark):
+    rows = ROWS + [(300, "l1\nl2\nl3\nl4"), (301, "l3\nl1\nl2\nnew"), (302, "l4\n\nl4\n l2 "), (303, "l1")]
+    got = line_dedup.line_dedup_report(clashing(table(spark, rows)))
+    assert rows_of(got, "doc_id", "n_lines", "n_deleted", "kept_sha256") == brute_whole_lines(rows)
+
+
 def test_patience():
     assert line_dedup.patience([1, 2, 3], [1, 2, 3]) == [(0, 0), (1, 1), (2, 2)]
     assert line_dedup.patience([], [1]) == []
