@@ -6,8 +6,9 @@ its SHA-256 is looked up among the digests of known licence texts by an
 equi-join.  Units are whole documents and, since notices stand alone in their
 lines, each line of them; a unit matches as a whole or not at all.
 
-Known texts are templates, not rows of the corpus: their digests number a few
-dozen, so the table of digests is small whatever the input.
+Known texts are templates, not rows of the corpus: whole texts (some in files
+of ``license_texts``), and one-line notices made of every lead-in with every
+name.  Their digests number a few thousand, whatever the input.
 
 Edge cases: null and empty texts have the digest of the empty text, which is
 no licence; a line that repeats counts each time; repeated rows get equal
@@ -16,6 +17,8 @@ results; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +59,69 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
 
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+{0} Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+{1} Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+
+BSD_3 = BSD_2 + """{2} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+"""
+
+BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {0} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF
+ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+#: Names of licences in notices, ``the`` apart.
+NAMES = {
+    "MIT": ["MIT License", "MIT"], "ISC": ["ISC License", "ISC"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "BSD-2-Clause", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "BSD-3-Clause", "3-Clause BSD License", "New BSD License", "Modified BSD License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache 2.0"],
+    **{f"{s}GPL-{n}": [f"GNU {k} General Public License, version {m}", f"GNU {k} General Public License {m}", f"GNU {s}GPL, version {m}",
+                      f"GNU {s}GPL {m}", f"{s}GPL {m}", f"{s}GPLv{m}", f"GNU {s}GPLv{m}", f"{k} General Public License, version {m}"]
+       for s, k, n, m in (("", "", "2.0", "2"), ("", "", "3.0", "3"), ("L", "Lesser", "2.1", "2.1"), ("L", "Lesser", "3.0", "3"), ("A", "Affero", "3.0", "3"))},
+    "MPL-1.1": ["Mozilla Public License, version 1.1", "Mozilla Public License 1.1", "MPL 1.1"],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero 1.0"],
+    **{f"CC-{k}-{v}": [f"CC {k} {v}", f"CC {k} {v} License", f"Creative Commons {w} {v} International License", f"Creative Commons {w} {v}",
+                      f"Creative Commons {k} {v}"]
+       for v in ("4.0",) for k, w in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                                      ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                                      ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))},
+}
+
+#: What comes before the name.
+LEADS = [f"{a}{b} under" for a in ("", "This work is ", "This project is ", "This software is ", "This program is ", "This file is ", "This code is ",
+                                   "This document is ")
+         for b in ("licensed", "released", "distributed", "published", "available", "made available")]
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """The texts beside this module, with and without what follows their terms."""
+    out = []
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        out += [(path.stem, t) for t in dict.fromkeys((text, terms, terms + end))]
+    return out
+
+
+def bsd_texts() -> list[tuple[str, str]]:
+    """Both BSD licences with numbered and plain conditions, with and without their names."""
+    return [(name, title + body.format(*marks) + BSD_END.format(holder))
+            for name, body in (("BSD-2-Clause", BSD_2), ("BSD-3-Clause", BSD_3))
+            for title in ("", *(f"{n}\n" for n in NAMES[name]), *(f"The {n}\n" for n in NAMES[name]))
+            for marks in (("1.", "2.", "3."), ("*", "*", "*")) for holder in ("HOLDER", "HOLDERS", "OWNER")]
+
+
 KNOWN = [
     ("MIT", MIT), ("MIT", "The MIT License\n" + MIT), ("MIT", "MIT License\n" + MIT),
     ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."),
@@ -70,6 +136,9 @@ KNOWN = [
     ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-4.0", "This work is licensed under CC BY 4.0."),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    *whole_texts(), *bsd_texts(),
+    *((name, f"SPDX-License-Identifier: {name}") for name in NAMES),
+    *((name, f"{lead} {the}{n}.") for name, names in NAMES.items() for n in names for lead in LEADS for the in ("", "the ")),
 ]
 
 _COPYRIGHT = r"(?m)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*$"
@@ -107,7 +176,7 @@ def license_scan(docs: DataFrame, known=None) -> DataFrame:
     ``n_notices``: lines that are licence notices; ``canonical_sha256``.
     """
     prepare(docs.sparkSession)
-    # a few dozen digests (the list above or the caller's): bounded, so they may be broadcast
+    # a few thousand digests (the list above or the caller's): bounded, so they may be broadcast
     digests = F.broadcast(shared(known_digests(docs.sparkSession, known)))
     source = pick(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("row"), "text")
     whole = (source.select("doc_id", "row", digest(F.col("text")).alias("digest")).join(digests, "digest", "left")

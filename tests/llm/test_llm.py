@@ -481,6 +481,16 @@ def test_license_scan(spark):
     assert licenses.license_scan(table(spark, [])).count() == 0
 
 
+def test_license_texts_and_notices(spark):
+    gpl = open("/usr/share/common-licenses/GPL-3").read()
+    bsd = "BSD 3-Clause License\n\nCopyright (c) 2020, A. Person\n\n" + licenses.BSD_3.format("1.", "2.", "3.") + licenses.BSD_END.format("HOLDER")
+    rows = [(1, gpl), (2, bsd), (3, "Released under CC BY 4.0."), (4, "Licensed under the BSD 3-Clause License."), (5, gpl + " and more"),
+            (6, "text\nThis project is distributed under the Mozilla Public License 2.0\ntext")]
+    got = {r["doc_id"]: (r["whole_license"], r["notice_licenses"]) for r in licenses.license_scan(table(spark, rows)).collect()}
+    assert got[1][0] == "GPL-3.0" and got[2][0] == "BSD-3-Clause" and got[5][0] is None
+    assert got[3][0] == "CC-BY-4.0" and got[4][0] == "BSD-3-Clause" and got[6] == (None, "MPL-2.0")
+
+
 # --- 8 ------------------------------------------------------------------------
 
 
