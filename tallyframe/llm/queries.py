@@ -9,12 +9,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import (bpe, decontaminate, exact_dedup, licenses, line_dedup, lm, pii, simhash, substring_dedup,
-                            toxicity)
+from tallyframe.llm import (bpe, centroids, cross_tokenizer, decontaminate, exact_dedup, licenses, line_dedup, lm, pii, simhash,
+                            substring_dedup, token_counts, toxicity)
 from tallyframe.llm.common import documents, prepare
 from tallyframe.sources.tables import table
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+COUNT_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +62,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(COUNT_FILE))
+
+
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokenizer.alignment(documents(spark, sf_dir), public_tokenizers.path(COUNT_FILE), public_tokenizers.path(PIECE_FILE))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 def _prepared(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
@@ -70,7 +84,7 @@ def _prepared(query):
 
 QUERIES = {q.__name__: _prepared(q) for q in (
     op1_bpe, op2_substring_dedup, op3_lm_score, op4_simhash, op5_decontaminate, op6_line_dedup, op7_license_scan,
-    op8_toxicity, op9_pii, op10_exact_dedup)}
+    op8_toxicity, op9_pii, op10_exact_dedup, op11_token_counts, op12_cross_tokenizer, op13_centroids)}
 
 #: Operators that SQL can express; the tests hold the others against brute force.
 ORACLE = {
@@ -78,4 +92,5 @@ ORACLE = {
     "op5_decontaminate": decontaminate.ORACLE,
     "op7_license_scan": licenses.oracle(),
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op13_centroids": centroids.oracle(),
 }
