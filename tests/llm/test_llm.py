@@ -385,40 +385,8 @@ def test_decontamination(spark, block):
 # --- 6 ------------------------------------------------------------------------
 
 
-def brute_lines(rows):
-    """Every pair of a document and an owner of its lines, aligned in plain Python."""
-    order = lambda i: line_dedup.LAST if i is None else i
-    first = {}
-    for i, t in rows:
-        places = {k: v for k, v in line_dedup.lines_of(t).items()}
-        for k, v in places.items():
-            first[k] = min(first.get(k, (order(i), v)), (order(i), v))
-    out = []
-    for i, t in rows:
-        gone = set()
-        mine = line_dedup.lines_of(t)
-        for owner in {first[k][0] for k in mine} - {order(i)}:
-            common_lines = [k for k in mine if first[k][0] == owner]
-            a = sorted((p, k) for k in common_lines for p in mine[k])
-            b = sorted((p, k) for k in common_lines for p in first[k][1])
-            gone |= {a[x][0] for x, _ in line_dedup.patience([k for _, k in a], [k for _, k in b])}
-        lines = (t or "").split("\n") if t is not None else []
-        kept = "\n".join(x for p, x in enumerate(lines) if p not in gone)
-        out.append((i, len(lines), len(gone), sha(kept)))
-    return ordered(out)
-
-
-def test_line_dedup(spark):
-    rows = [r for r in ROWS] + [(300, "l1\nl2\nl3\nl4"), (301, "l3\nl1\nl2\nnew"), (302, "l4\n\nl4\n l2 "), (303, "l1"), (300, "l9\nl2")]
-    got = line_dedup.line_dedup_report(clashing(table(spark, rows)))
-    assert rows_of(got, "doc_id", "n_lines", "n_deleted", "kept_sha256") == brute_lines(rows)
-    texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in line_dedup.line_dedup(table(spark, rows)).collect()}
-    assert texts[301] == ("l3\nnew", 6) and texts[303] == ("", 0) and texts[100] == (None, None)
-    assert line_dedup.line_dedup(table(spark, [])).count() == 0
-
-
-def brute_whole_lines(rows):
-    """Every pair of a document and an owner of its lines or of its text, aligned on all the lines both have."""
+def brute_cut_lines(rows):
+    """(doc_id, lines, deleted lines, text that is left): every pair of a document and an owner of its lines or of its text, aligned on all the lines both have."""
     order = lambda i: line_dedup.LAST if i is None else i
     lists = {(order(i), t): [x.strip() for x in t.split("\n")] for i, t in rows if t is not None}
     first = {}
@@ -434,8 +402,21 @@ def brute_whole_lines(rows):
                 a = [(p, x) for p, x in enumerate(lines) if x in shared]
                 gone |= {a[x][0] for x, _ in line_dedup.patience([x for _, x in a], [x for x in lists[owner] if x in shared])}
         raw = t.split("\n") if t is not None else []
-        out.append((i, len(raw), len(gone), sha("\n".join(x for p, x in enumerate(raw) if p not in gone))))
-    return ordered(out)
+        out.append((i, len(raw), len(gone), None if t is None else "\n".join(x for p, x in enumerate(raw) if p not in gone)))
+    return out
+
+
+def brute_whole_lines(rows):
+    return ordered([(i, n, gone, sha(text or "")) for i, n, gone, text in brute_cut_lines(rows)])
+
+
+def test_line_dedup(spark):
+    rows = [r for r in ROWS] + [(300, "l1\nl2\nl3\nl4"), (301, "l3\nl1\nl2\nnew"), (302, "l4\n\nl4\n l2 "), (303, "l1"), (300, "l9\nl2")]
+    got = line_dedup.line_dedup_report(clashing(table(spark, rows)))
+    assert rows_of(got, "doc_id", "n_lines", "n_deleted", "kept_sha256") == brute_whole_lines(rows)
+    texts = {r["doc_id"]: (r["text"], r["n_chars"]) for r in line_dedup.line_dedup(table(spark, rows)).collect()}
+    assert texts[301] == ("l3\nnew", 6) and texts[303] == ("", 0) and texts[100] == (None, None)
+    assert line_dedup.line_dedup(table(spark, [])).count() == 0
 
 
 def test_copies_of_lines_that_others_own(spark):

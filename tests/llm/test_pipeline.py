@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 import tiktoken
 
-from tallyframe.llm import bpe, common, line_dedup
-from test_llm import (PATH, PATTERN, SCHEMA, WORDS, brute_components, brute_fp, brute_leaks, ordered, rows_of, sha)
+from tallyframe.llm import bpe, common
+from test_llm import (PATH, PATTERN, SCHEMA, WORDS, brute_components, brute_cut_lines, brute_fp, brute_leaks, ordered, rows_of, sha)
 
 
 @pytest.fixture(scope="module")
@@ -43,24 +43,6 @@ def tables(spark, tmp_path_factory):
     return home, docs, kinds, items
 
 
-def brute_cut(rows):
-    order = lambda i: line_dedup.LAST if i is None else i
-    first = {}
-    for i, t in rows:
-        for k, v in line_dedup.lines_of(t).items():
-            first[k] = min(first.get(k, (order(i), v)), (order(i), v))
-    out = []
-    for i, t in rows:
-        mine, gone = line_dedup.lines_of(t), set()
-        for owner in {first[k][0] for k in mine} - {order(i)}:
-            shared = [k for k in mine if first[k][0] == owner]
-            a = sorted((p, k) for k in shared for p in mine[k])
-            b = sorted((p, k) for k in shared for p in first[k][1])
-            gone |= {a[x][0] for x, _ in line_dedup.patience([k for _, k in a], [k for _, k in b])}
-        out.append((i, None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone)))
-    return out
-
-
 def test_stages(spark, tables):
     home, docs, kinds, items = tables
     df, seen = spark.read.parquet(f"{home}/documents.parquet"), []
@@ -77,7 +59,7 @@ def test_stages(spark, tables):
     # 1: toxic documents go, all others stay
     assert ordered(texts[0]) == ordered([(i, t) for i, t in docs if kinds.get(i) != "toxic"])
     # 2: aligned lines go, all documents stay
-    assert ordered(texts[1]) == ordered(brute_cut(texts[0]))
+    assert ordered(texts[1]) == ordered([(i, t) for i, _, _, t in brute_cut_lines(texts[0])])
     # 3: one document of each group of fingerprints stays
     fps = [(i, brute_fp(t)) for i, t in texts[1]]
     group = brute_components(sorted({f for _, f in fps}), 2)
@@ -114,4 +96,4 @@ def test_stages_on_an_empty_table(spark, tables):
 
 def test_registration_without_the_subpackage():
     import __spark_entry__ as entry
-    assert {"pipeline", *(f"op{n}_" for n in range(1, 11))} <= {q if q == "pipeline" else q.split("_")[0] + "_" for q in entry.queries()}
+    assert {"pipeline", *(f"op{n}_" for n in range(1, 14))} <= {q if q == "pipeline" else q.split("_")[0] + "_" for q in entry.queries()}
