@@ -6,12 +6,14 @@ A.Bt give the overlap links with the bytes they share; products of the
 token-group incidence matrices give the links inside a group, a group being
 the bytes between two offsets where tokens of both sides end.
 
-A text is cut at single blanks between non-blanks, where neither side has a
-token across: tokens of both end there, so the matrices are block-diagonal over
-these parts, and the parts of a batch that weren't seen lately are multiplied
-at once.  A part's links are the rows of a part-pair matrix L; the occurrences
-D of parts in documents then give the links of documents as the product D.L.
-If the piece model can merge across a blank, whole texts are the parts.
+A text is cut where neither side has a token across: at single blanks between
+non-blanks, around lone line feeds and before closing punctuation, as far as no
+piece of the model holds the two characters next to each other.  Tokens of both
+end there, so the matrices are block-diagonal over these parts, and the parts
+of a batch that weren't seen lately are multiplied at once.  A part's links are
+the rows of a part-pair matrix L; the occurrences D of parts in documents then
+give the links of documents as the product D.L.  If the piece model can merge
+across a blank, whole texts are the parts.
 
 The links of each document are written to the shared folder once.  Corpus-wide
 counts of pairs are sums over that table.  The pairs with the highest counts,
@@ -38,13 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.bpe import byte_table, parts_of
+from tallyframe.llm.bpe import byte_table, finer, parts_of
 from tallyframe.llm.common import pick, prepare
 
 #: Pairs whose counts go to every task, 17 bytes each.
 HEAD = 8192
 #: Parts a worker keeps links of (two generations), and the longest of them.
-CACHE_PARTS = 60_000
+CACHE_PARTS = 150_000
 CACHE_CHARS = 64
 #: Entries that a product expands at once, characters of the texts a task holds at once.
 BLOCK = 1 << 20
@@ -139,32 +141,39 @@ class Side:
         self.pieces = path.endswith(".model")
         if self.pieces:
             import sentencepiece
-
-            self.library = s = sentencepiece.SentencePieceProcessor(model_file=path)
-            self.data = [bytes([int(s.id_to_piece(i)[3:-1], 16)]) if s.is_byte(i) else s.id_to_piece(i).replace("▁", " ").encode()
-                         for i in range(s.vocab_size())]
-            self.cuttable = not any("▁" in s.id_to_piece(i).lstrip("▁") for i in range(s.vocab_size()))
+            from sentencepiece import sentencepiece_model_pb2 as model
+
+            spec = model.ModelProto()
+            with open(path, "rb") as f:
+                spec.ParseFromString(f.read())
+            prefixed = spec.normalizer_spec.add_dummy_prefix
+            spec.normalizer_spec.add_dummy_prefix = False  # the blank before a text is part of it here
+            self.library = s = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
+            names = [s.id_to_piece(i) for i in range(s.vocab_size())]
+            self.data = [bytes([int(n[3:-1], 16)]) if s.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
+            self.cuttable = (prefixed and not spec.normalizer_spec.precompiled_charsmap and not spec.normalizer_spec.remove_extra_whitespaces
+                             and not any("▁" in n.lstrip("▁") for n in names))
+            #: Neighbours within a piece; no merge joins two characters that are none.
+            self.neighbours = {n[i:i + 2] for i_, n in enumerate(names) if not s.is_byte(i_) for i in range(len(n) - 1)}
         else:
             from tokenizers import Tokenizer
 
             self.library = t = Tokenizer.from_file(path)
             t.encode_special_tokens = True  # their strings in a text are ordinary text
-            back = {c: b for b, c in enumerate(byte_table())}
+            self.spelled = dict(enumerate(byte_table()))
+            back = {c: b for b, c in self.spelled.items()}
             self.data = [b""] * t.get_vocab_size()
             for token, i in t.get_vocab().items():
                 self.data[i] = bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
-            self.cuttable = True
+            self.cuttable, self.neighbours = True, set()
         self.lengths = np.array([len(d) for d in self.data], np.int64)
 
     def encode(self, parts: list[str]) -> list[list[int]]:
-        """Ids of parts; they open with a blank, which a piece model adds itself.
-
-        ASCII letters after the blank are one pre-token and go to the merges at once.
-        """
+        """Ids of parts; letters after at most one blank are one pre-token and go to the merges at once."""
         if self.pieces:
-            return self.library.encode([p[1:] for p in parts], num_threads=1)
-        blank, tokenize = byte_table()[32], self.library.model.tokenize
-        out = [[t.id for t in tokenize(blank + p[1:])] if p[1:].isalpha() and p.isascii() else None for p in parts]
+            return self.library.encode(parts, num_threads=1)
+        tokenize, spelled = self.library.model.tokenize, self.spelled
+        out = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(spelled))] if p.removeprefix(" ").isalpha() else None for p in parts]
         rest = [i for i, ids in enumerate(out) if ids is None]
         for i, e in zip(rest, self.library.encode_batch([parts[i] for i in rest], add_special_tokens=False)):
             out[i] = e.ids
@@ -252,19 +261,49 @@ class Aligner:
         edges = np.searchsorted(group, np.arange(groups + 1)).tolist()
         return [names[x] if y - x == 1 else ",".join(names[x:y]) for x, y in zip(edges, edges[1:])]
 
+    def pieces(self, part: str) -> list[str]:
+        """A part cut further, where no piece of B joins the two sides."""
+        out = []
+        for piece in finer(part) if self.cuttable else [part]:
+            if out and out[-1][-1:] + piece[:1] in self.b.neighbours:
+                out[-1] += piece
+            elif piece:
+                out.append(piece)
+        return out
+
     def of(self, parts: list[str]) -> list[Part]:
-        """Links of distinct parts; new ones are aligned together."""
+        """Links of distinct parts; the pieces of new ones are aligned together."""
         known = [self.seen.get(p) or self.older.get(p) for p in parts]
-        new = [i for i, k in enumerate(known) if k is None]
-        for i, part in zip(new, self.align([parts[i] for i in new]) if new else []):
-            known[i] = part
-        for name, part in zip(parts, known):
-            if len(name) <= CACHE_CHARS and name not in self.seen:
-                if len(self.seen) >= CACHE_PARTS:
-                    self.older, self.seen = self.seen, {}
-                self.seen[name] = part
+        cut = [[] if k else self.pieces(p) for p, k in zip(parts, known)]
+        pieces: dict[str, Part | None] = {}
+        for few in cut:
+            for p in few:
+                if p not in pieces:
+                    pieces[p] = self.seen.get(p) or self.older.get(p)
+        new = [p for p, k in pieces.items() if k is None]
+        pieces.update(zip(new, self.align(new) if new else []))
+        for p, part in pieces.items():
+            self.keep(p, part)
+        for i, few in enumerate(cut):
+            if few:
+                known[i] = pieces[few[0]] if len(few) == 1 else chained([pieces[p] for p in few])
+                self.keep(parts[i], known[i])
         return known
 
+    def keep(self, name: str, part: Part) -> None:
+        if len(name) <= CACHE_CHARS:
+            if len(self.seen) >= CACHE_PARTS and name not in self.seen:
+                self.older, self.seen = self.seen, {}
+            self.seen[name] = part
+
+
+def chained(pieces: list[Part]) -> Part:
+    """Pieces one after another; a pair may occur several times."""
+    if not all(p[0] for p in pieces):
+        return NO_TOKENS
+    sums = [sum(x) for x in zip(*[p[1:6] for p in pieces])]
+    return (True, *sums, b"".join([p[6] for p in pieces]), b"".join([p[7] for p in pieces]), ";".join([p[8] for p in pieces]))
+
 
 @dataclass
 class Aligned:
