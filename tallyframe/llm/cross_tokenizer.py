@@ -192,6 +192,15 @@ def flat(ids: list[list[int]]) -> np.ndarray:
     return np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
 
 
+class Decimals(dict):
+    def __missing__(self, x: int) -> str:
+        self[x] = name = str(x)
+        return name
+
+
+#: Ids as text; at most a vocabulary.
+_DECIMAL = Decimals()
+
 #: What is kept of a part: whether its bytes agree, numbers of tokens, groups, overlap and group links,
 #: packed pairs and their links, and the groups as text.
 Part = tuple[bool, int, int, int, int, int, bytes, bytes, str]
@@ -257,7 +266,7 @@ class Aligner:
     @staticmethod
     def spell(tokens: np.ndarray, group: np.ndarray, groups: int) -> list[str]:
         """The decimal ids of each group, joined by commas."""
-        names = [*map(str, tokens.tolist())]
+        names = [_DECIMAL[t] for t in tokens.tolist()]
         edges = np.searchsorted(group, np.arange(groups + 1)).tolist()
         return [names[x] if y - x == 1 else ",".join(names[x:y]) for x, y in zip(edges, edges[1:])]
 
@@ -273,36 +282,34 @@ class Aligner:
 
     def of(self, parts: list[str]) -> list[Part]:
         """Links of distinct parts; the pieces of new ones are aligned together."""
-        known = [self.seen.get(p) or self.older.get(p) for p in parts]
-        cut = [[] if k else self.pieces(p) for p, k in zip(parts, known)]
-        pieces: dict[str, Part | None] = {}
-        for few in cut:
-            for p in few:
-                if p not in pieces:
-                    pieces[p] = self.seen.get(p) or self.older.get(p)
+        seen, older = self.seen, self.older
+        known = [seen.get(p) or older.get(p) for p in parts]
+        unknown = [i for i, k in enumerate(known) if k is None]
+        cut = [self.pieces(parts[i]) for i in unknown]
+        pieces = {p: seen.get(p) or older.get(p) for p in chain.from_iterable(cut)}
         new = [p for p, k in pieces.items() if k is None]
         pieces.update(zip(new, self.align(new) if new else []))
-        for p, part in pieces.items():
-            self.keep(p, part)
-        for i, few in enumerate(cut):
-            if few:
-                known[i] = pieces[few[0]] if len(few) == 1 else chained([pieces[p] for p in few])
-                self.keep(parts[i], known[i])
+        for i, few in zip(unknown, cut):
+            known[i] = pieces[few[0]] if len(few) == 1 else chained([pieces[p] for p in few])
+        self.keep(pieces)
+        self.keep({p: k for p, k in zip(parts, known) if p not in seen})
         return known
 
-    def keep(self, name: str, part: Part) -> None:
-        if len(name) <= CACHE_CHARS:
-            if len(self.seen) >= CACHE_PARTS and name not in self.seen:
-                self.older, self.seen = self.seen, {}
-            self.seen[name] = part
+    def keep(self, links: dict[str, Part]) -> None:
+        """For the next batches; the older generation goes when the younger is full."""
+        self.seen.update((name, part) for name, part in links.items() if len(name) <= CACHE_CHARS)
+        if len(self.seen) > CACHE_PARTS:
+            self.older, self.seen = self.seen, {}
 
 
 def chained(pieces: list[Part]) -> Part:
     """Pieces one after another; a pair may occur several times."""
     if not all(p[0] for p in pieces):
         return NO_TOKENS
-    sums = [sum(x) for x in zip(*[p[1:6] for p in pieces])]
-    return (True, *sums, b"".join([p[6] for p in pieces]), b"".join([p[7] for p in pieces]), ";".join([p[8] for p in pieces]))
+    n_a = n_b = groups = links = inside = 0
+    for p in pieces:
+        n_a, n_b, groups, links, inside = n_a + p[1], n_b + p[2], groups + p[3], links + p[4], inside + p[5]
+    return (True, n_a, n_b, groups, links, inside, b"".join([p[6] for p in pieces]), b"".join([p[7] for p in pieces]), ";".join([p[8] for p in pieces]))
 
 
 @dataclass

@@ -1,17 +1,19 @@
 """Operator 3: language-model scoring with a gated recurrent network.
 
 Word counts cover all training rows and are a table in the shared folder.  The
-``VOCABULARY`` most frequent words are predicted by a GRU with a class-factored
-output: first the word's class (words in order of frequency, ``CLASS_WORDS`` a
-class), then the word among its class; all other words are one more class,
-within which a word has its smoothed count's share.  The output starts as the
+most frequent words are predicted by a GRU with a class-factored output: first
+the word's class (words in order of frequency, ``CLASS_WORDS`` a class), then
+the word among its class; all other words are one more class, within which a
+word has its smoothed count's share.  There are ``VOCABULARY`` such words up to
+``VOCABULARY_TOKENS`` training tokens and more beyond (the fourth root of the
+tokens), so the vocabulary grows with the corpus.  The output starts as the
 unigram model, so training only refines it.
 
 Training is truncated backpropagation in numpy: windows of ``STEPS`` steps, the
 state carried from window to window.  A first network is trained on the
 ``WARM_DOCS`` training rows with the smallest hashes of the id; from it every
-task trains on all its training rows, and the mean of the tasks' networks,
-weighted by tokens, is the model.
+task trains on every token of its training rows, and the mean of the tasks'
+networks, weighted by tokens, is the model.
 
 Scoring packs whole documents into lanes and carries each one's state from
 window to window up to its end.  Counts of the ``HEAD`` most frequent words go
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import bucket_of_id, pick, prepare
 
 VOCABULARY = 2048
+VOCABULARY_TOKENS = 4_000_000
 CLASS_WORDS = 64
 HIDDEN = 24
 STEPS = 16
@@ -145,7 +148,7 @@ class Network:
             grads["class_w"], grads["class_b"] = states.T @ e, e.sum(axis=0)
             back = e @ self.class_w.T
             grads["word_w"], grads["word_b"] = np.zeros_like(self.word_w), np.zeros_like(self.word_b)
-        order = np.argsort(of.astype(np.int16), kind="stable")
+        order = np.argsort(of.astype(np.int32), kind="stable")
         edges = np.searchsorted(of[order], np.arange(self.classes + 1))
         for c in range(self.classes):
             at = order[edges[c]:edges[c + 1]]
@@ -163,11 +166,15 @@ class Network:
                 back[at] += e @ self.word_w[c]
         return (out, back) if grads is not None else out
 
-    def gradients(self, h: np.ndarray, x: np.ndarray, y: np.ndarray, keep: np.ndarray):
-        """One window: (state after it, gradients of the negative log-likelihood, its sum)."""
+    def gradients(self, h: np.ndarray, x: np.ndarray, y: np.ndarray, keep: np.ndarray, real: np.ndarray | None = None):
+        """One window: (state after it, gradients of the negative log-likelihood, its sum); steps that aren't ``real`` count nothing."""
         k, grads = self.hidden, {}
         h1, states, tape = self.run(h, x, keep, record=True)
-        logs, back = self.log_chances(states.reshape(-1, k), y.ravel(), grads)
+        if real is None or real.all():
+            logs, back = self.log_chances(states.reshape(-1, k), y.ravel(), grads)
+        else:
+            back = np.zeros((x.size, k), states.dtype)
+            logs, back[real.ravel()] = self.log_chances(states.reshape(-1, k)[real.ravel()], y.ravel()[real.ravel()], grads)
         back = back.reshape(*x.shape, k)
         into, d_state, d = np.empty((*x.shape, 3 * k), np.float32), np.zeros_like(self.state), np.zeros_like(h)
         for t in range(len(x) - 1, -1, -1):
@@ -196,7 +203,7 @@ class Trainer:
         self.squares = {n: np.full_like(getattr(network, n), 1e-2) for n in Network.NAMES}
 
     def train(self, docs: list[np.ndarray], lanes: int = LANES) -> None:
-        """Documents one after another, dealt to lanes in equal stretches."""
+        """Documents one after another, dealt to lanes in equal stretches; the last one is filled up with steps that don't count."""
         y = np.concatenate(docs)
         lanes = max(1, min(lanes, len(y) // STEPS))
         starts = np.cumsum([0, *map(len, docs[:-1])])
@@ -205,15 +212,21 @@ class Trainer:
         keep = np.ones(len(y), np.float32)
         keep[starts] = 0
         x[starts] = end_id
-        length = len(y) // lanes
-        x, y, keep = (a[:lanes * length].reshape(lanes, length).T for a in (x, y, keep))
+        length = -(-len(y) // lanes)
+        real = np.arange(lanes * length) < len(y)
+        pad = lanes * length - len(y)
+        x, y, keep = np.append(x, np.full(pad, end_id)), np.append(y, np.full(pad, end_id)), np.append(keep, np.ones(pad, np.float32))
+        x, y, keep, real = (a.reshape(lanes, length).T for a in (x, y, keep, real))
         h = np.zeros((lanes, self.network.hidden), self.network.state.dtype)
         for t in range(0, length, STEPS):
-            wx, wy, wk = (np.ascontiguousarray(a[t:t + STEPS]) for a in (x, y, keep))
-            h, grads, loss = self.network.gradients(h, wx, wy, wk)
-            self.tokens += wx.size
+            wx, wy, wk, wr = (np.ascontiguousarray(a[t:t + STEPS]) for a in (x, y, keep, real))
+            tokens = int(wr.sum())
+            if not tokens:
+                break
+            h, grads, loss = self.network.gradients(h, wx, wy, wk, wr)
+            self.tokens += tokens
             self.loss += loss
-            self.step(grads, wx.size)
+            self.step(grads, tokens)
 
     def step(self, grads: dict, tokens: int) -> None:
         for name in Network.NAMES:
@@ -331,13 +344,40 @@ class Model:
         self.network, self.others = network, others
 
 
-def fit(docs: DataFrame, folder: str, vocabulary: int = VOCABULARY) -> tuple[Model, DataFrame]:
-    """Model and table of counts from training rows (doc_id, text)."""
+def vocabulary_of(tokens: int, least: int = VOCABULARY) -> int:
+    """Words of the network: ``least``, times the fourth root of the tokens beyond VOCABULARY_TOKENS, in whole classes."""
+    grown = least * max(1.0, tokens / VOCABULARY_TOKENS) ** 0.25
+    return min(HEAD, max(least, int(grown) // CLASS_WORDS * CLASS_WORDS))
+
+
+def most_frequent(counts: DataFrame, most: int, least: int) -> list:
+    """Rows of (word, n), the most frequent first: at most ``most``, ``least`` if there are so many.
+
+    Taken from a count on, found from a histogram over powers of 2**(1/4);
+    only where these are fewer than ``least`` are the next ones sorted.
+    """
+    step = F.floor(F.log2("n") * 4).cast("int")
+    sizes = {r["s"]: r["words"] for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("words")).collect()}  # 252 rows at most
+    low, total = max(sizes, default=0) + 1, 0
+    for s in sorted(sizes, reverse=True):
+        if total + sizes[s] > most:
+            break
+        low, total = s, total + sizes[s]
+    rows = counts.where(step >= low).collect()  # ``most`` rows at most
+    rows.sort(key=lambda r: (-r["n"], bytes(r["word"])))
+    if total < least:
+        rows += counts.where(step < low).orderBy(F.desc("n"), "word").limit(least - total).collect()
+    return rows
+
+
+def fit(docs: DataFrame, folder: str, vocabulary: int | None = None) -> tuple[Model, DataFrame]:
+    """Model and table of counts from training rows (doc_id, text); ``vocabulary``: words of the network, by the corpus if None."""
     spark = docs.sparkSession
     count_words(docs).write.parquet(f"{folder}/counts")
     counts = spark.read.schema("word binary, n bigint").parquet(f"{folder}/counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()  # HEAD rows at most
+    vocabulary = vocabulary or vocabulary_of(total, VOCABULARY)
+    top = most_frequent(counts, HEAD, min(vocabulary, HEAD))
     words, n = [bytes(r["word"]) for r in top], np.array([r["n"] for r in top], np.int64)
     if END not in words[:vocabulary]:  # no training rows, or an end rarer than the vocabulary's words
         spot = min(len(words), vocabulary - 1)

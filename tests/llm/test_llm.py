@@ -204,6 +204,40 @@ def test_lm_network_keeps_its_size(spark, tmp_path):
     assert (net.size, net.hidden, net.word_w.shape) == (2048, 24, (32, 64, 24))
 
 
+def test_lm_vocabulary_grows_with_the_corpus():
+    sizes = [lm.vocabulary_of(n) for n in (0, 10 ** 6, 4 * 10 ** 6, 64 * 10 ** 6, 10 ** 10, 10 ** 13, 10 ** 18)]
+    assert sizes[:4] == [2048, 2048, 2048, 4096] and sizes == sorted(sizes) and sizes[4] > 14_000 and sizes[-1] == lm.HEAD
+    assert all(s % lm.CLASS_WORDS == 0 for s in sizes)
+
+
+def test_lm_most_frequent_words(spark):
+    rows = [(f"w{i:03d}".encode(), 1 + i % 9) for i in range(400)]
+    counts = spark.createDataFrame(rows, "word binary, n bigint")
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for most, least in ((400, 50), (100, 20), (60, 60), (3, 2), (1000, 500)):
+        got = [(bytes(r["word"]), r["n"]) for r in lm.most_frequent(counts, most, least)]
+        assert got == want[:len(got)] and min(least, 400) <= len(got) <= most
+    assert lm.most_frequent(counts.where("false"), 5, 2) == []
+
+
+def test_lm_trains_every_token():
+    for n in (17, 128, 1000, 2049, 5003):
+        docs = [np.append(np.arange(n - 4, dtype=np.int32) % 8, 8).astype(np.int32), np.array([1, 2, 8], np.int32)]
+        trainer = lm.Trainer(lm.Network(np.arange(9, 0, -1), 5.0), 0.02)
+        trainer.train(docs)
+        assert trainer.tokens == n
+    net = lm.Network(np.arange(9, 0, -1), 5.0)
+    rng = np.random.default_rng(1)
+    x, y, keep, h = rng.integers(0, 9, (4, 3)), rng.integers(0, 9, (4, 3)), np.ones((4, 3), np.float32), np.zeros((3, 24), np.float32)
+    real = np.ones((4, 3), bool)
+    real[2:, 2] = False
+    _, some, loss = net.gradients(h, x, y, keep, real)
+    y2 = y.copy()
+    y2[2:, 2] = 5
+    _, other, loss2 = net.gradients(h, x, y2, keep, real)
+    assert loss == loss2 and all(np.array_equal(some[k], other[k]) for k in ("class_w", "word_w", "state"))
+
+
 def test_lm_updates_per_text(monkeypatch):
     steps = []
     monkeypatch.setattr(lm.Trainer, "step", lambda self, grads, tokens: steps.append(tokens))

@@ -159,7 +159,7 @@ def test_alignment_with_small_caches_and_groups(monkeypatch):
             for d, k in zip(doc.tolist(), n.tolist()):
                 links[s + found.rows[d]] += k
         assert [links[i] for i in range(s, s + 30)] == [want[i][3] for i in range(s, s + 30)]
-    assert len(aligner.seen) <= 3
+    assert len(aligner.seen) <= 3 and all(len(p) <= ct.CACHE_CHARS for p in aligner.older)
 
 
 def test_whole_texts_where_cuts_are_not_proven():
