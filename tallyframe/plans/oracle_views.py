@@ -98,8 +98,9 @@ def with_views(sql: str, *names: str, extra: list[tuple[str, str]] | None = None
                 order.append(d)
         if n not in order:
             order.append(n)
-    ctes = [f"{n} AS ({VIEWS[n]}\n)" for n in order]
-    ctes += [f"{n} AS ({body}\n)" for n, body in (extra or [])]
+    # each is made once, however often the query reads it
+    ctes = [f"{n} AS MATERIALIZED ({VIEWS[n]}\n)" for n in order]
+    ctes += [f"{n} AS MATERIALIZED ({body}\n)" for n, body in (extra or [])]
     if not ctes:
         return sql
     return "WITH " + ",\n".join(ctes) + "\n" + sql
