@@ -8,7 +8,13 @@ paired with itself.  All lines that a pair shares are aligned with patience
 diff, whoever owns them: lines that are rare in the pair (once in either
 document) are anchors, the longest run of anchors in the same order holds, and
 the gaps between them are aligned in turn.  The aligned blocks are deleted
-from the later document.  No line is too frequent to count.
+from the later document.
+
+No line is too frequent to count.  Rare lines meet their owners by a shuffle,
+in which none has over a ``HOT_SHARE``-th of the rows; the frequent ones, at
+most ``HOT_SHARE`` lines, are broadcast with their owners.  A pair is filled
+from the document with fewer lines, and only with the lines that both have, so
+an owner of very many lines costs a pair no more than the other side does.
 
 Lines are compared without surrounding white space; lines without any other
 character are neither compared nor deleted.
@@ -39,6 +45,9 @@ LAST = (1 << 63) - 1
 #: Stands for a line that isn't compared.
 BLANK = -1
 
+#: A line with at least this part of all rows of repeated lines is frequent.
+HOT_SHARE = 1000
+
 
 def lines_of(text: str | None) -> dict[bytes, list[int]]:
     """Digest of each distinct line -> its places."""
@@ -101,29 +110,50 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(set(pairs))
 
 
-def aligned_places(mine: list[int], theirs: list[int]) -> list[int]:
-    """Places of a later document's lines that align with an earlier one's; -1 stands for lines that aren't compared."""
-    both = (set(mine) & set(theirs)) - {BLANK}
-    a = [(p, x) for p, x in enumerate(mine) if x in both]
-    return [a[i][0] for i, _ in patience([x for _, x in a], [x for x in theirs if x in both])]
+def aligned_places(shared: list[dict]) -> list[int]:
+    """Places of a later document's lines that align with an earlier one's, from the places (``mine``, ``theirs``) of each line that both have."""
+    a = sorted((p, i) for i, s in enumerate(shared) for p in s["mine"])
+    b = sorted((p, i) for i, s in enumerate(shared) for p in s["theirs"])
+    return [a[i][0] for i, _ in patience([x for _, x in a], [x for _, x in b])]
 
 
 def row_key(doc_id: Column, text: Column) -> list[Column]:
     return [F.coalesce(doc_id, F.lit(LAST)).cast("bigint").alias("doc"), F.xxhash64(text).alias("row")]
 
 
+ENTRIES = pa.list_(pa.struct([("line", pa.int64()), ("at", pa.list_(pa.int32()))]))
+
+
 def line_lists(docs: DataFrame) -> DataFrame:
-    """(doc, row, lines): the lines of each row of docs as digests, in order; repeated rows once.
+    """(doc, row, whole, entries): a digest of all lines in order, and each distinct line as a digest with its places; repeated rows once.
 
-    ``row`` digests the whole text and tells rows with one id apart.
+    ``row`` digests the text and tells rows with one id apart.
     """
 
-    @arrow_udf("array<bigint>")
-    def digests(texts: pa.Array) -> pa.Array:
-        return pa.array([line_digests(t) for t in texts.to_pylist()], pa.list_(pa.int64()))
+    @arrow_udf("array<struct<line:bigint,at:array<int>>>")
+    def places(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            held: dict[int, list[int]] = {}
+            for i, x in enumerate(line_digests(t)):
+                if x != BLANK:
+                    held.setdefault(x, []).append(i)
+            out.append([{"line": x, "at": at} for x, at in held.items()])
+        return pa.array(out, ENTRIES)
 
     source = pick(docs, "doc_id", "text").where("text is not null")
-    return source.select(*row_key(F.col("doc_id"), F.col("text")), digests("text").alias("lines")).dropDuplicates(["doc", "row"])
+    return (source.select(*row_key(F.col("doc_id"), F.col("text")), whole_digest()("text").alias("whole"), places("text").alias("entries"))
+            .dropDuplicates(["doc", "row"]))
+
+
+def whole_digest():
+    """Column function: text -> a digest of its compared lines in order."""
+
+    @arrow_udf("bigint")
+    def digest(texts: pa.Array) -> pa.Array:
+        return pa.array([xxhash.xxh3_64_intdigest(b",".join(b"%d" % x for x in line_digests(t) if x != BLANK), 1) - (1 << 63) for t in texts.to_pylist()], pa.int64())
+
+    return digest
 
 
 def pairs_of(lists: DataFrame) -> DataFrame:
@@ -132,25 +162,40 @@ def pairs_of(lists: DataFrame) -> DataFrame:
     A line pairs a row with the first document that has it, the whole text
     with the first document that has all the same lines.
     """
-    compared = F.array_remove("lines", F.lit(BLANK))
-    keys = lists.select("doc", "row", F.explode(F.array_union(F.array_distinct(compared), F.array(F.xxhash64(compared, F.lit(1))))).alias("line"))
-    owners = (keys.groupBy("line").agg(F.min(F.struct("doc", "row")).alias("first"), F.count("*").alias("n")).where("n > 1")
-              .select("line", F.col("first.doc").alias("owner"), F.col("first.row").alias("owner_row")))
-    return (keys.join(owners, "line").where(F.col("doc") != F.col("owner"))
+    keys = lists.select("doc", "row", F.explode(F.array_union(F.col("entries.line"), F.array("whole"))).alias("line"))
+    owners = stored(keys.groupBy("line").agg(F.min(F.struct("doc", "row")).alias("first"), F.count("*").alias("n")).where("n > 1")
+                    .select("line", "n", F.col("first.doc").alias("owner"), F.col("first.row").alias("owner_row")), "owners")
+    least = max(2, -(-(owners.agg(F.sum("n")).first()[0] or 0) // HOT_SHARE))
+    hot = F.broadcast(owners.where(F.col("n") >= least).drop("n"))  # HOT_SHARE rows at most
+    rare = keys.join(hot.select("line"), "line", "left_anti").join(owners.where(F.col("n") < least).drop("n"), "line")
+    return (keys.join(hot, "line").unionByName(rare).where(F.col("doc") != F.col("owner"))
             .select("doc", "row", "owner", "owner_row").distinct())
 
 
+def shared_lines(lists: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(doc, row, owner, owner_row, shared array<(mine, theirs)>): the places of the lines that a pair shares."""
+    mine = lists.select("doc", "row", F.explode("entries").alias("e")).select("doc", "row", F.col("e.line").alias("line"), F.col("e.at").alias("mine"))
+    theirs = mine.select(F.col("doc").alias("owner"), F.col("row").alias("owner_row"), "line", F.col("mine").alias("theirs"))
+    size = lists.select("doc", "row", F.size("entries").alias("n"))
+    sized = (pairs.join(size, ["doc", "row"])
+             .join(size.select(F.col("doc").alias("owner"), F.col("row").alias("owner_row"), F.col("n").alias("m")), ["owner", "owner_row"]))
+    sized = stored(sized, "pairs")
+    ids = ["doc", "row", "owner", "owner_row"]
+    from_mine = sized.where("n <= m").select(*ids).join(mine, ["doc", "row"]).join(theirs, ["owner", "owner_row", "line"])
+    from_theirs = sized.where("n > m").select(*ids).join(theirs, ["owner", "owner_row"]).join(mine, ["doc", "row", "line"])
+    both = from_mine.select(*ids, "mine", "theirs").unionByName(from_theirs.select(*ids, "mine", "theirs"))
+    return both.groupBy(*ids).agg(F.collect_list(F.struct("mine", "theirs")).alias("shared"))
+
+
 def deletions(docs: DataFrame) -> DataFrame:
     """(doc, row, deleted): places of the lines that each later row loses."""
     lists = stored(line_lists(docs), "lines")
 
     @arrow_udf("array<int>")
-    def align(mine: pa.Array, theirs: pa.Array) -> pa.Array:
-        return pa.array([aligned_places(a, b) for a, b in zip(mine.to_pylist(), theirs.to_pylist())], pa.list_(pa.int32()))
+    def align(shared: pa.Array) -> pa.Array:
+        return pa.array([aligned_places(s) for s in shared.to_pylist()], pa.list_(pa.int32()))
 
-    theirs = lists.select(F.col("doc").alias("owner"), F.col("row").alias("owner_row"), F.col("lines").alias("theirs"))
-    each = (pairs_of(lists).join(theirs, ["owner", "owner_row"]).join(lists, ["doc", "row"])
-            .select("doc", "row", align("lines", "theirs").alias("places")))
+    each = shared_lines(lists, pairs_of(lists)).select("doc", "row", align("shared").alias("places"))
     return each.groupBy("doc", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("deleted"))
 
 

@@ -466,6 +466,16 @@ def test_line_dedup_aligns_whole_documents(spark):
     assert rows_of(got, "doc_id", "n_lines", "n_deleted", "kept_sha256") == brute_whole_lines(rows)
 
 
+def test_line_dedup_with_a_long_owner_and_many_owners(spark):
+    long = "\n".join(f"line {i}" for i in range(3000))
+    rows = [(0, long), *[(i, f"line {i}\nown {i}\nline {i * 7 % 3000}") for i in range(1, 250)], (500, "\n".join(f"own {i}" for i in range(249, 0, -1)))]
+    for share in (1000, 2):
+        line_dedup.HOT_SHARE, before = share, line_dedup.HOT_SHARE
+        got = line_dedup.line_dedup_report(table(spark, rows))
+        assert rows_of(got, "doc_id", "n_lines", "n_deleted", "kept_sha256") == brute_whole_lines(rows)
+        line_dedup.HOT_SHARE = before
+
+
 def test_patience():
     assert line_dedup.patience([1, 2, 3], [1, 2, 3]) == [(0, 0), (1, 1), (2, 2)]
     assert line_dedup.patience([], [1]) == []
@@ -500,9 +510,14 @@ def test_license_texts_and_notices(spark):
     gpl = open("/usr/share/common-licenses/GPL-3").read()
     bsd = "BSD 3-Clause License\n\nCopyright (c) 2020, A. Person\n\n" + licenses.BSD_3.format("1.", "2.", "3.") + licenses.BSD_END.format("HOLDER")
     rows = [(1, gpl), (2, bsd), (3, "Released under CC BY 4.0."), (4, "Licensed under the BSD 3-Clause License."), (5, gpl + " and more"),
-            (6, "text\nThis project is distributed under the Mozilla Public License 2.0\ntext")]
+            (6, "text\nThis project is distributed under the Mozilla Public License 2.0\ntext"),
+            (7, "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person\n\n" + licenses.MIT),
+            (8, bsd.replace("A. Person\n", "A. Person\nAll rights reserved.\n")), (9, "// SPDX-License-Identifier: GPL-3.0-or-later\nx"),
+            (10, "SPDX-License-Identifier: LGPL-2.1-only"), (11, "all rights reserved, by nobody")]
     got = {r["doc_id"]: (r["whole_license"], r["notice_licenses"]) for r in licenses.license_scan(table(spark, rows)).collect()}
     assert got[1][0] == "GPL-3.0" and got[2][0] == "BSD-3-Clause" and got[5][0] is None
+    assert got[7][0] == "MIT" and got[8][0] == "BSD-3-Clause" and got[9] == (None, "GPL-3.0-or-later")
+    assert got[10] == ("LGPL-2.1", "LGPL-2.1") and got[11] == (None, None)
     assert got[3][0] == "CC-BY-4.0" and got[4][0] == "BSD-3-Clause" and got[6] == (None, "MPL-2.0")
 
 
