@@ -1,6 +1,7 @@
 """Operator 7: licence scans by canonical digests.
 
-A text is made canonical (lower case, copyright lines dropped, equivalent
+A text is made canonical (lower case, copyright lines and "all rights
+reserved" lines dropped, equivalent
 spellings made one, punctuation and white space reduced to single blanks) and
 its SHA-256 is looked up among the digests of known licence texts by an
 equi-join.  Units are whole documents and, since notices stand alone in their
@@ -123,10 +124,13 @@ def bsd_texts() -> list[tuple[str, str]]:
 
 
 KNOWN = [
-    ("MIT", MIT), ("MIT", "The MIT License\n" + MIT), ("MIT", "MIT License\n" + MIT),
+    ("MIT", MIT), ("ISC", ISC),
+    *((name, f"{the}{title}\n{text}") for name, text in (("MIT", MIT), ("ISC", ISC)) for the in ("", "The ")
+      for title in (name, f"{name} License", f"{name} License ({name})")),
+    *(("MIT", f"{title}\n{MIT}") for title in ("Expat License", "The Expat License", "MIT License (Expat)", "The MIT License (Expat)")),
     ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."),
     ("MIT", "This work is licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
-    ("ISC", ISC), ("ISC", "ISC License\n" + ISC), ("ISC", "SPDX-License-Identifier: ISC"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
     ("Apache-2.0", APACHE_NOTICE), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Released under the Apache License, Version 2.0."), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -138,10 +142,12 @@ KNOWN = [
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
     *whole_texts(), *bsd_texts(),
     *((name, f"SPDX-License-Identifier: {name}") for name in NAMES),
+    *((name + later, f"SPDX-License-Identifier: {name}{form}") for name in NAMES if "GPL" in name
+      for form, later in (("-only", ""), ("-or-later", "-or-later"))),
     *((name, f"{lead} {the}{n}.") for name, names in NAMES.items() for n in names for lead in LEADS for the in ("", "the ")),
 ]
 
-_COPYRIGHT = r"(?m)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*$"
+_COPYRIGHT = r"(?m)^[ \t]*(?:(?:copyright\b|\(c\)|©)[^\n]*|all rights reserved[.!]?[ \t]*)$"
 _OTHER = r"[^\p{L}\p{N}]+"
 
 
