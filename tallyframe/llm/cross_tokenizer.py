@@ -28,10 +28,12 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import chain
 
@@ -328,7 +330,24 @@ class Aligned:
         return row_blocks(self.occurrences, self.links)
 
 
+@contextmanager
+def no_collector() -> Iterator[None]:
+    """Links are tuples without cycles, many of them: the collector would only walk over them again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def aligned(aligner: Aligner, texts: list[str | None]) -> Aligned:
+    with no_collector():
+        return _aligned(aligner, texts)
+
+
+def _aligned(aligner: Aligner, texts: list[str | None]) -> Aligned:
     index: dict[str, int] = {}
     held = [np.array([index.setdefault(p, len(index)) for p in aligner.parts(t)], np.int64) if t else np.zeros(0, np.int64) for t in texts]
     parts = aligner.of([*index])
