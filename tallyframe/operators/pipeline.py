@@ -27,9 +27,10 @@ class ScoringPipeline:
     k: int
 
     def scores(self, df: DataFrame) -> DataFrame:
+        """(id, z array[K]) for every row of ``df``; a row without a known feature scores as the bias."""
         feats = self.features.transform(df)
-        proj = svd.project(feats, self.components, self.k).withColumnRenamed("component", "feature")
-        return linear.linear_scores(proj, self.weights, self.bias)
+        proj = svd.project(feats, self.components, self.k, df.select("id")).withColumnRenamed("component", "feature")
+        return linear.linear_scores(proj, self.weights, self.bias, df.select("id"))
 
     def predict(self, df: DataFrame) -> DataFrame:
         """(id, pred, pred_label) for every row of ``df``."""

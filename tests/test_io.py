@@ -67,6 +67,13 @@ def test_pipeline_save_load_predicts_like_mllib(spark):
     lib = m.transform(pv).select("id", F.col("prediction").cast("int").alias("pred"))
     assert mine.count() == lib.count()
     assert mine.exceptAll(lib).count() == 0
+    # rows without any known feature are scored too
+    odd = spark.createDataFrame([(-1, "zzz qqq", None, None, "zzz"), (-2, None, "nowhere", None, None), (-3, "", "", "", "")],
+                                "id bigint, movie string, setting string, reminder string, drink string")
+    odd = odd.select("id", *[(F.col(c) if c in odd.columns else F.lit(None).cast("string")).alias(c) for c in views.QUESTIONS])
+    loaded.features.num_cols = []
+    got = loaded.predict(odd).collect()
+    assert sorted(r["id"] for r in got) == [-3, -2, -1] and {r["pred"] for r in got} == {max(range(len(loaded.bias)), key=lambda i: (loaded.bias[i], -i))}
 
 
 def test_running_best_log_sink(spark):
