@@ -205,47 +205,26 @@ def search(present: DataFrame, k: int, n_folds: int, candidates: list[tuple[floa
                           for f in range(n_folds) for i in range(k)]).alias("c")))
     fold_rows = []
     for f in range(n_folds):
-        ntr = [sum(F.get(F.col("c"), h * k + i) for h in range(n_folds) if h != f) for i in range(k)]
-        fold_rows.append(F.struct(F.lit(f).alias(fold_col), F.array(*ntr).alias("ntr")))
-    per_fold = (cnt.select(*g, "token", F.explode(F.array(*fold_rows)).alias("r"))
-                .select(*g, "token", f"r.{fold_col}", "r.ntr")
-                .where(F.aggregate("ntr", F.lit(0).cast("bigint"), lambda acc, x: acc + x) > 0))
-    lo_cols, l1m_cols = [], []
-    for ci, (a, b) in enumerate(candidates):
-        den = F.element_at(F.array(*[F.array(*[F.lit(float(nk_tr[f][i] + a + b)) for i in range(k)])
-                                     for f in range(n_folds)]), fo + 1)
-        theta = F.zip_with("ntr", den, lambda c, d: (c + F.lit(float(a))) / d)
-        lo_cols.append(F.transform(theta, lambda t: F.ln(t) - F.log1p(-t)))
-        l1m_cols.append(F.transform(theta, lambda t: F.log1p(-t)))
-    tab = per_fold.select(*g, "token", fold_col, F.array(*lo_cols).alias("lo"), F.array(*l1m_cols).alias("l1m"))
-    tab = tab.persist()  # read by the base-sum aggregate and by the scoring join
-    # base sums: one small aggregate (groups x folds rows of C x K numbers)
-    base_rows = tab.groupBy(*g, fold_col).agg(*[F.sum(F.get(F.get(F.col("l1m"), ci), i)).alias(f"b{ci}_{i}")
-                                                for ci in range(c_n) for i in range(k)]).collect()
-    off = len(g)
-    base = {}
-    for r in base_rows:
-        gv = r[0] if g else ""
-        f = r[off]
-        n_tr = sum(nk_tr[f])
-        for ci in range(c_n):
-            base[(gv, f, ci)] = [math.log((nk_tr[f][i] + a_class) / (n_tr + k * a_class))
-                                 + float(r[off + 1 + ci * k + i]) for i in range(k)]
-    prior_only = {f: [math.log((nk_tr[f][i] + a_class) / (sum(nk_tr[f]) + k * a_class)) for i in range(k)]
-                  for f in range(n_folds)}
-    j = present.join(tab.select(*g, "token", fold_col, "lo"), [*g, "token", fold_col], "left")
-    sums = [F.sum(F.coalesce(F.get(F.get(F.col("lo"), ci), i), F.lit(0.0))).alias(f"s{ci}_{i}")
-            for ci in range(c_n) for i in range(k)]
-    per_row = j.groupBy("id", y_col, fold_col, *g).agg(*sums)
-    key = F.concat_ws("\u0001", F.col(group).cast("string") if g else F.lit(""), fo.cast("string"))
-    cand_structs = []
+        ntr = [sum(F.get(F.col("c"), h * k + i) for h in range(n_folds) if h != f) if n_folds > 1 else F.lit(0).cast("bigint") for i in range(k)]
+        fold_rows.append(F.struct(F.lit(f).alias(fold_col), *[x.alias(f"n{i}") for i, x in enumerate(ntr)]))
+    facts = [(f, [float(n) for n in nk_tr[f]], [math.log((n + a_class) / (sum(nk_tr[f]) + k * a_class)) for n in nk_tr[f]]) for f in range(n_folds)]
+    facts = present.sparkSession.createDataFrame(facts, f"{fold_col} int, _n array<double>, _prior array<double>")  # a row a fold
+    per_fold = (cnt.select(*g, "token", F.explode(F.array(*fold_rows)).alias("r")).select(*g, "token", "r.*")
+                .where(sum((F.col(f"n{i}") for i in range(k)), F.lit(0)) > 0).join(F.broadcast(facts.select(fold_col, "_n")), fold_col))
+    theta = {(ci, i): (F.col(f"n{i}") + F.lit(float(a))) / (F.get("_n", i) + F.lit(float(a + b)))
+             for ci, (a, b) in enumerate(candidates) for i in range(k)}
+    # read by the base sums and by the scoring join; plain numbers, and the grid is in no literal
+    tab = per_fold.select(*g, "token", fold_col, *[(F.ln(t) - F.log1p(-t)).alias(f"lo{ci}_{i}") for (ci, i), t in theta.items()],
+                          *[F.log1p(-t).alias(f"no{ci}_{i}") for (ci, i), t in theta.items()]).checkpoint()
+    base = tab.groupBy(*g, fold_col).agg(*[F.sum(f"no{ci}_{i}").alias(f"b{ci}_{i}") for ci, i in theta])  # groups x folds rows
+    j = present.join(tab.select(*g, "token", fold_col, *[f"lo{ci}_{i}" for ci, i in theta]), [*g, "token", fold_col], "left")
+    per_row = j.groupBy("id", y_col, fold_col, *g).agg(*[F.sum(F.coalesce(f"lo{ci}_{i}", F.lit(0.0))).alias(f"s{ci}_{i}") for ci, i in theta])
+    scored = per_row.join(base, [*g, fold_col], "left").join(F.broadcast(facts.select(fold_col, "_prior")), fold_col)
+    hits = []
     for ci in range(c_n):
-        bmap = F.create_map(*[x for (gv, f, cj), v in base.items() if cj == ci
-                              for x in (F.lit(f"{gv}\u0001{f}"), F.array(*[F.lit(t) for t in v]))])
-        fallback = F.element_at(F.array(*[F.array(*[F.lit(t) for t in prior_only[f]]) for f in range(n_folds)]), fo + 1)
-        bvec = F.coalesce(F.element_at(bmap, key), fallback) if base else fallback
-        s = F.zip_with(bvec, F.array(*[F.col(f"s{ci}_{i}") for i in range(k)]), lambda x, z: x + z)
-        cand_structs.append(F.struct(F.lit(ci).alias("cand"), (argmax(s) == y).cast("int").alias("hit")))
-    ex = per_row.select(*g, fold_col, F.explode(F.array(*cand_structs)).alias("r"))
-    return (ex.groupBy(*g, "r.cand", fold_col)
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("r.hit").cast("bigint").alias("hits")))
+        s = F.array(*[F.get("_prior", i) + F.coalesce(f"b{ci}_{i}", F.lit(0.0)) + F.col(f"s{ci}_{i}") for i in range(k)])
+        hits.append(F.sum((argmax(s) == y).cast("bigint")).alias(f"h{ci}"))
+    # one row for each group and fold before the candidates are dealt out
+    total = scored.groupBy(*g, fold_col).agg(F.count(F.lit(1)).alias("n"), *hits)
+    cands = F.array(*[F.struct(F.lit(ci).alias("cand"), F.coalesce(f"h{ci}", F.lit(0).cast("bigint")).alias("hits")) for ci in range(c_n)])
+    return total.select(*g, fold_col, "n", F.explode(cands).alias("r")).select(*g, "r.cand", fold_col, "n", "r.hits")

@@ -124,3 +124,21 @@ def tfidf_fit_transform(df: DataFrame, stop_words: Sequence[str] | None = STOP_W
         v = v.where(F.col("cnt") >= min_count)
     idf_t = v.select("token", F.ln(F.lit(float(n_rows)) / (1 + F.col("df"))).alias("idf"))
     return tc.join(idf_t, "token").select("id", "token", (F.col("tc") / F.col("n_words") * F.col("idf")).alias("value"))
+
+
+# --- mergeable sizes (T6, A2) ------------------------------------------------------
+
+SKETCH_K = 14  # 2^14 registers: a standard error of about 0.7 %
+
+
+def token_sketches(tok: DataFrame, keys: Sequence[str], lg_k: int = SKETCH_K) -> DataFrame:
+    """(*keys, sketch): a HyperLogLog sketch of the tokens of each key, small enough to be stored and merged later.
+
+    Keys without a token have an empty sketch.
+    """
+    return tok.groupBy(*keys).agg(F.hll_sketch_agg("token", F.lit(lg_k)).alias("sketch"))
+
+
+def merged_sizes(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(*keys, approx_size): distinct tokens by merging stored sketches; the texts aren't read again."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_size"))

@@ -126,3 +126,17 @@ def test_pipeline_search_takes_prefixes(spark):
     for r in rows:
         same.setdefault((r["components"], r["c"]), set()).add((r["cv_accuracy"], r["test_accuracy"]))
     assert all(len(v) == 1 for v in same.values())  # equal prefixes are equal models
+
+
+def test_sketches_merge_to_the_vocabulary_size(spark):
+    from pyspark.sql import functions as F
+    from tallyframe.operators import text
+    tok = spark.range(30_000).select((F.col("id") % 5).alias("part"), (F.col("id") % 3).alias("day"), (F.col("id") % 7000).cast("string").alias("token"))
+    sketches = text.token_sketches(tok, ["part", "day"])
+    assert sketches.count() == 15
+    for keys, size in ((["part"], 1400), (["day"], 7000)):
+        for r in text.merged_sizes(sketches, keys).collect():
+            assert abs(r["approx_size"] / size - 1) < 0.03
+    assert text.token_sketches(tok.where("false"), ["part"]).count() == 0
+    got = Q["vocab_size_sketch"](spark, SF_SMALL).collect()
+    assert len(got) == 8 and all(r["error"] <= 0.03 and r["sketches"] > 1 for r in got)
