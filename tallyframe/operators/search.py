@@ -1,4 +1,4 @@
-"""Candidate tables for the searches.
+"""Candidate tables for the searches (M19, M24; those of M22 and M23 are in ``hybrid``).
 
 Candidates are bounded parameter lists built on the driver; the data work
 of scoring them runs on Spark (see ``nb.search`` and the model plans).
@@ -11,7 +11,6 @@ import random
 from collections.abc import Sequence
 from itertools import product
 
-REPRESENTATIONS = ("none", "raw", "prob", "raw+prob")
 ROLES = ("num", "text", "both")
 
 
@@ -20,17 +19,6 @@ def log_uniform(n: int, lo: float, hi: float, seed: int = 42) -> list[float]:
     return [round(math.exp(r.uniform(math.log(lo), math.log(hi))), 6) for _ in range(n)]
 
 
-def subset_candidates(items: Sequence[str]) -> list[tuple[int, list[str]]]:
-    """Every non-empty subset as (mask, items), mask bit i = item i."""
-    n = len(items)
-    return [(m, [items[i] for i in range(n) if m >> i & 1]) for m in range(1, 2 ** n)]
-
-
-def representation_candidates(questions: Sequence[str]) -> list[tuple[str, ...]]:
-    """Product of representations, the all-'none' candidate skipped."""
-    return [c for c in product(REPRESENTATIONS, repeat=len(questions)) if any(r != "none" for r in c)]
-
-
 def role_candidates(questions: Sequence[str]) -> list[dict[str, list[str]]]:
     """Product of roles; each candidate is a fresh {role: [questions]}
     (K9: 'num' and 'both' feed the numeric list, 'text' and 'both' the text list)."""
