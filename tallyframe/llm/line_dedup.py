@@ -49,15 +49,6 @@ BLANK = -1
 HOT_SHARE = 1000
 
 
-def lines_of(text: str | None) -> dict[bytes, list[int]]:
-    """Digest of each distinct line -> its places."""
-    out: dict[bytes, list[int]] = {}
-    for i, line in enumerate((text or "").split("\n")):
-        if line := line.strip():
-            out.setdefault(xxhash.xxh3_128_digest(line.encode()), []).append(i)
-    return out
-
-
 def line_digests(text: str) -> list[int]:
     """A digest of each line, in order; ``BLANK`` for lines without other characters than white space."""
     return [xxhash.xxh3_64_intdigest(line.encode()) - (1 << 63) if line else BLANK for line in map(str.strip, text.split("\n"))]
