@@ -18,6 +18,8 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.operators.joins import join_rows
+
 
 @dataclass
 class SVDResult:
@@ -64,6 +66,6 @@ def project(features: DataFrame, comps: DataFrame, k: int, ids: DataFrame | None
     j = features.join(comps, "feature")
     agg = j.groupBy("id").agg(*[F.sum(F.col("value") * F.get(F.col("v"), i)).alias(f"c{i}") for i in range(k)])
     if ids is not None:
-        agg = ids.select("id").join(agg, "id", "left")
+        agg = join_rows(ids.select("id"), agg)
     st = F.explode(F.array(*[F.struct(F.lit(i).alias("component"), F.coalesce(f"c{i}", F.lit(0.0)).alias("value")) for i in range(k)]))
     return agg.select("id", st.alias("s")).select("id", "s.*")
