@@ -19,11 +19,13 @@ adds nothing.
 Besides, assigned secrets (a key or token, then a long value) are counted; they
 are no span of the four kinds.
 
-The fit takes the documents with the ``SAMPLE`` smallest hashes of the id;
-finding covers whole texts of all rows.  Places are code points, ends
-exclusive.
+The fit takes every document with an id: equal candidates are stored once with
+their number, each level of each tree is one pass over them, and what reaches
+the driver are sums by node, feature and bin.  Thresholds lie on a grid of
+``GRID`` steps.  Finding covers whole texts of all rows.  Places are code
+points, ends exclusive.
 
-Edge cases: null and empty texts have no spans; null ids aren't in the sample;
+Edge cases: null and empty texts have no spans; the fit leaves null ids out;
 without candidates of both labels nothing is added to the base; repeated rows
 get equal results; an empty table gives an empty result; further columns are
 ignored.
@@ -43,11 +45,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tallyframe.llm.common import pick
+from tallyframe.sources.tables import stored
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents of the fit, and candidates of it (those with the lowest hashes of their features).
-SAMPLE = 20_000
-CANDIDATES = 40_000
+#: Steps of the thresholds, and of the gradients, which are summed as whole numbers so that no order matters.
+GRID = 1 << 14
+UNIT = float(1 << 30)
 PRECISION = 0.95
 LEAST_HITS = 20
 
@@ -387,42 +390,122 @@ def redact(text: str | None, spans: list[Span]) -> str:
 NOTHING_ADDED = Finder(Trees(), {k: 2.0 for k in KINDS})
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, most: int = CANDIDATES) -> Finder:
-    source = pick(docs, "doc_id", "text")
-    # ids first, so that texts don't pass through the sort; at most ``sample`` ids are broadcast
-    taken = (source.select("doc_id").where("doc_id is not null").distinct()
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = source.join(F.broadcast(taken), "doc_id").where(F.col("text").rlike("[0-9@]"))
+def candidate_counts(docs: DataFrame) -> DataFrame:
+    """(held boolean, hit boolean, x array, n): the labelled candidates of all documents, equal ones once; held: not for the trees."""
+    rows = pick(docs, "doc_id", "text").where("doc_id is not null").where(F.col("text").rlike("[0-9@]"))
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, hit, x = [], [], []
+            held, hit, x = [], [], []
             for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for good, features in examples(text):
-                    doc.append(d)
+                    held.append(d % 3 == 0)
                     hit.append(good)
                     x.append(features)
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(hit, pa.bool_()), pa.array(x, pa.list_(pa.float64()))], ["doc", "hit", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.bool_()), pa.array(hit, pa.bool_()), pa.array(x, pa.list_(pa.float64()))], ["held", "hit", "x"])
 
-    got = (rows.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(described, "doc bigint, hit boolean, x array<double>")
-           .orderBy(F.xxhash64("doc", "x"), "doc").limit(most).collect())
-    if not any(r["hit"] for r in got) or all(r["hit"] for r in got):
-        return NOTHING_ADDED
-    x, y = np.array([r["x"] for r in got]), np.array([float(r["hit"]) for r in got])
-    fold = np.array([r["doc"] % 3 == 0 for r in got])
-    if not (~fold).any():
-        return NOTHING_ADDED
-    trees = boost(x[~fold], y[~fold])
-    chance, thresholds = trees.chance(x), {}
+    found = rows.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(described, "held boolean, hit boolean, x array<double>")
+    return stored(found.groupBy("held", "hit", "x").agg(F.count("*").alias("n")), "candidates")
+
+
+def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hit, x, n) of a batch of (hit, x, n)."""
+    hit, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+    return hit.astype(float), batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(hit), FEATURES), n.astype(np.int64)
+
+
+def boost_table(found: DataFrame, rounds: int = 40, depth: int = 3, rate: float = 0.3, bins: int = 32) -> Trees:
+    """``boost`` over the rows (hit, x, n) of a table, a row counting n times; a job for each level of each tree."""
+    source, sc = found.select("hit", "x", "n"), found.sparkSession.sparkContext
+    steps = ", ".join(repr(float(q)) for q in np.linspace(0, 1, bins + 1)[1:-1])
+    first = source.agg(F.sum("n"), F.sum(F.when(F.col("hit"), F.col("n")).otherwise(0)),
+                       *[F.expr(f"percentile(x[{f}], array({steps}), n)") for f in range(FEATURES)]).first()
+    cuts = [np.unique(first[2 + f]) for f in range(FEATURES)]
+    mean = float(np.clip(first[1] / first[0], 1e-4, 1 - 1e-4))
+    model = Trees(float(np.log(mean / (1 - mean))))
+    inner = 2 ** depth - 1
+
+    def level(feature: np.ndarray, cut: np.ndarray, done: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of gradients and of their slopes by (node of the level, feature, bin)."""
+        nodes, cast = 2 ** done, sc.broadcast((model, cuts, feature, cut))  # the trees so far
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trees, edges, feature, cut = cast.value
+            total = np.zeros((2, nodes * FEATURES * bins), np.int64)
+            for batch in batches:
+                if not len(batch):
+                    continue
+                y, x, n = _arrays(batch)
+                p = trees.chance(x)
+                parts = [np.rint(v * UNIT).astype(np.int64) * n for v in (y - p, p * (1 - p))]
+                node = np.zeros(len(x), np.int64)
+                for _ in range(done):
+                    node = 2 * node + 1 + (x[np.arange(len(x)), feature[node]] > cut[node])
+                for f, e in enumerate(edges):
+                    at = ((node - (nodes - 1)) * FEATURES + f) * bins + np.searchsorted(e, x[:, f], side="left")
+                    for t, v in zip(total, parts):
+                        np.add.at(t, at, v)
+            cells = np.flatnonzero(total.any(axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total[0][cells]), pa.array(total[1][cells])], ["cell", "g", "h"])
+
+        out = np.zeros((2, nodes * FEATURES * bins))
+        for r in source.mapInArrow(sums, "cell bigint, g bigint, h bigint").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():  # nodes x features x bins
+            out[:, r["cell"]] = r["g"] / UNIT, r["h"] / UNIT
+        cast.destroy()
+        return tuple(out.reshape(2, nodes, FEATURES, bins))
+
+    for _ in range(rounds):
+        feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
+        leaves = []
+        for done in range(depth):
+            for k, (g, h) in enumerate(zip(*level(feature, cut, done)), 2 ** done - 1):
+                total_g, total_h = g[0].sum(), h[0].sum()
+                best, left = 1e-6, (total_g, total_h)
+                for f, edges in enumerate(cuts):
+                    if not len(edges):
+                        continue
+                    sum_g, sum_h = np.cumsum(g[f])[:len(edges)], np.cumsum(h[f])[:len(edges)]
+                    gain = sum_g ** 2 / (sum_h + 1) + (total_g - sum_g) ** 2 / (total_h - sum_h + 1) - total_g ** 2 / (total_h + 1)
+                    i = int(gain.argmax())
+                    if gain[i] > best:
+                        best, feature[k], cut[k], left = float(gain[i]), f, edges[i], (sum_g[i], sum_h[i])
+                if done == depth - 1:
+                    leaves += [left, (total_g - left[0], total_h - left[1])]
+        model.trees.append((feature, cut, np.array([rate * g / (h + 1) for g, h in leaves])))
+    return model
+
+
+def threshold_table(held: DataFrame, trees: Trees) -> dict[str, float]:
+    """By kind: the lowest step of the grid from which up the candidates (hit, x, n) reach ``PRECISION``; 2.0 if none does."""
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                y, x, n = _arrays(batch)
+                step = np.floor(trees.chance(x) * GRID).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, 0].astype(np.int32)), pa.array(step), pa.array(n), pa.array((n * y).astype(np.int64))],
+                                                 ["kind", "step", "n", "hits"])
+
+    out = {k: 2.0 for k in KINDS}
+    n, hits = np.zeros((2, len(KINDS), GRID + 1), np.int64)
+    for r in (held.select("hit", "x", "n").mapInArrow(scored, "kind int, step int, n bigint, hits bigint")
+              .groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).collect()):  # kinds x steps
+        n[r["kind"], r["step"]], hits[r["kind"], r["step"]] = r["n"], r["hits"]
     for i, kind in enumerate(KINDS):
-        mine = fold & (x[:, 0] == i)
-        order = np.argsort(-chance[mine], kind="stable")
-        p, hits = chance[mine][order], np.cumsum(y[mine][order])
-        good = (hits / np.arange(1, len(p) + 1) >= PRECISION) & (hits >= LEAST_HITS)
-        # a tie must go in whole, so a cut is only possible after its last member
-        good &= np.append(p[:-1] > p[1:], True) if len(p) else good
-        thresholds[kind] = float(p[np.flatnonzero(good)[-1]]) if good.any() else 2.0
-    return Finder(trees, thresholds)
+        above, right = (np.cumsum(c[i][::-1])[::-1] for c in (n, hits))
+        good = np.flatnonzero((right >= PRECISION * above) & (right >= LEAST_HITS) & (n[i] > 0))
+        if len(good):
+            out[kind] = float(good[0] / GRID)
+    return out
+
+
+def fit(docs: DataFrame) -> Finder:
+    found = candidate_counts(docs)
+    labels = {(r["held"], r["hit"]) for r in found.select("held", "hit").distinct().collect()}  # four at most
+    if len({hit for _, hit in labels}) < 2 or not any(not held for held, _ in labels):
+        return NOTHING_ADDED
+    trees = boost_table(found.where("not held"))
+    return Finder(trees, threshold_table(found.where("held"), trees))
 
 
 RESULT = "struct<n_email:bigint,n_ip:bigint,n_card:bigint,n_phone:bigint,base:string,spans:string,n_added:bigint,n_secrets:bigint>"
