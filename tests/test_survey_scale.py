@@ -22,3 +22,14 @@ def test_answers_are_kept_and_not_their_words(spark):
     _, present, model = nb_search_plans._survey_parts(spark, SF, ["movie", "drink"])
     assert not present.storageLevel.useMemory and not present.storageLevel.useDisk
     model.theta.unpersist()
+
+
+def test_words_are_counted_where_their_text_lies(spark):
+    from tallyframe.operators.text import TEXTS, by_id, word_counts
+    docs = spark.createDataFrame([(1, "a b a"), (1, "A c"), (2, None), (3, ""), (4, "ß_1 ß_1")], "id bigint, text string")
+    assert sorted(map(tuple, word_counts(docs).collect())) == [(1, "a", 3), (1, "b", 1), (1, "c", 1), (4, "ß_1", 2)]
+    many = spark.range(TEXTS * 20).select("id", F.lit("x").alias("text"))
+    assert by_id(many).rdd.getNumPartitions() >= 20
+    # the only exchange is that of the texts
+    plan = word_counts(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
