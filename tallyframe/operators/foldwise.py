@@ -230,7 +230,9 @@ def crossfit_nb(present: DataFrame, rows: DataFrame, k: int, folds: int, views:
 
     met = present.join(F.broadcast(assign), "fold")
     odds = table.select(group, "token", "model", *[f"lo{c}_{i}" for c, i in theta])
-    summed = (met.join(odds, [group, "token", "model"], "left").groupBy("view", "id", "fold", "y", group, "model")
+    # a value is 8 bytes, and 16 columns fill what a broadcast may hold
+    size = table.count() * -(-len(theta) // 16)
+    summed = (join_parameters(met, odds, [group, "token", "model"], size, "left").groupBy("view", "id", "fold", "y", group, "model")
               .agg(*[F.sum(F.coalesce(f"lo{c}_{i}", F.lit(0.0))).alias(f"s{c}_{i}") for c, i in theta]))
     scored = summed.join(base, [group, "model"], "left").join(F.broadcast(facts_table.select("model", "log_prior")), "model")
     each = [F.struct(F.lit(c).alias("cand"), nb.softmax(F.array(*[
