@@ -33,3 +33,12 @@ def test_words_are_counted_where_their_text_lies(spark):
     # the only exchange is that of the texts
     plan = word_counts(docs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_sketches_read_each_word_of_a_month_once(spark, monkeypatch):
+    from tallyframe.plans import search_plans
+    seen = []
+    monkeypatch.setattr(search_plans, "token_sketches", lambda tok, keys: seen.append(tok) or search_plans.tx_sketches(tok, keys))
+    monkeypatch.setattr(search_plans, "tx_sketches", __import__("tallyframe.operators.text", fromlist=["x"]).token_sketches, raising=False)
+    assert search_plans.q_vocab_size_sketch(spark, SF).count() == 8
+    assert seen[0].count() == seen[0].select("question", "month", "token").distinct().count()
