@@ -251,6 +251,37 @@ def test_lm_beats_the_base_on_held_out_text(spark):
     assert r[0] > r[1]
 
 
+def test_lm_slices_of_classes_match_a_plain_loop():
+    """Rows lie by class inside; every gradient is that of a plain loop, in the network's own precision."""
+    rng = np.random.default_rng(3)
+    net = lm.Network(np.arange(200, 0, -1), 9.0, hidden=4)
+    for name in net.NAMES:
+        setattr(net, name, getattr(net, name).astype(np.float64) + rng.normal(0, 0.1, getattr(net, name).shape))
+    s, y, grads = rng.uniform(-1, 1, (50, 4)), rng.integers(0, 201, 50), {}
+    logs, _ = net.log_chances(s, y, grads)
+    word_w = np.zeros_like(net.word_w)
+    for row, (v, target) in enumerate(zip(s, y)):
+        q = v @ net.class_w + net.class_b
+        c = 4 if target == 200 else target // lm.CLASS_WORDS
+        expected = q[c] - np.log(np.exp(q).sum())
+        if c < 4:
+            q = net.word_w[c] @ v + net.word_b[c]
+            expected += q[target % lm.CLASS_WORDS] - np.log(np.exp(q).sum())
+            p = np.exp(q) / np.exp(q).sum()
+            p[target % lm.CLASS_WORDS] -= 1
+            word_w[c] += np.outer(p, v)
+        assert abs(logs[row] - expected) < 1e-12
+    assert np.allclose(grads["word_w"], word_w, rtol=0, atol=1e-12)
+    x, y, keep = rng.integers(0, 201, (3, 2)), rng.integers(0, 201, (3, 2)), np.array([[0, 0], [1, 0], [1, 1.0]])
+    used, g = net.gradients(np.zeros((2, 4)), x, y, keep)[1]["inputs"]
+    step, losses = 1e-5, []
+    for sign in (1, -1):
+        net.inputs[used[0], 1] += sign * step
+        losses.append(net.gradients(np.zeros((2, 4)), x, y, keep)[2])
+        net.inputs[used[0], 1] -= sign * step
+    assert g.dtype == np.float64 and abs((losses[0] - losses[1]) / (2 * step) - g[0, 1]) < 1e-9
+
+
 def test_lm_gradients_and_whole_documents():
     net = lm.Network(np.array([50, 30, 20, 10, 5]), 7.0, hidden=4)
     rng = np.random.default_rng(0)
