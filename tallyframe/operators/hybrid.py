@@ -5,9 +5,9 @@ has one, a block of class probabilities: naive Bayes over its words, or a
 softmax over its options.  A training row's probabilities come from models
 that never saw its fold, so the last softmax learns from what it will meet.
 
-All training sets of a search (views, see ``foldwise``) are rows of one table:
-the fold code of a row is view * folds + fold, and the batched softmax fits
-pick their training and test rows by these codes.  A search inside a training
+All training sets of a search (views, see ``foldwise``) share their stored rows
+(``viewrows``): the fold code of a row under a view is view * folds + fold, and
+the batched softmax fits pick their training and test rows by these codes.  A search inside a training
 set has a view of its own for each fold that it keeps out, so that no feature
 of the rows that a fit learns from has seen the labels it is tried on.
 """
@@ -16,17 +16,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 from itertools import chain, combinations, product
-from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import tokens
-from tallyframe.operators import foldwise, softmax_batch as sb
+from tallyframe.operators import foldwise, softmax_batch as sb, viewrows
 from tallyframe.operators.foldwise import NO_FOLD, Views
-from tallyframe.sources.tables import scratch, stored
+from tallyframe.sources.tables import stored
 
 #: Of the gradients of candidate fits; the loss is then within about 1e-8 of its least value.
 TOLERANCE = 1e-4
@@ -36,7 +34,8 @@ class HybridData:
     """Encoded rows of every view, and where each block of columns lies.
 
     ``raw``/``prob``: question -> [from, to); ``entries`` (view, id, y, fold
-    code, columns, vals); ``blocks``: the same rows for the batched fits.
+    code, columns, vals), made when asked for; ``blocks``: the same rows for the
+    batched fits; ``encoder``: what makes them of the stored ones.
     """
 
     views: list[frozenset[int]]
@@ -46,7 +45,14 @@ class HybridData:
     prob: dict[str, tuple[int, int]]
     width: int
     entries: DataFrame
-    blocks: DataFrame
+    blocks: sb.Rows
+    encoder: viewrows.Encoder | None = None
+
+    def some_entries(self, codes: Sequence[int]) -> DataFrame:
+        """``entries`` of some fold codes; no others are made."""
+        if self.encoder is None:
+            return self.entries.where(F.col("fold").isin([*codes]))
+        return viewrows.entries(self.blocks.frame, self.encoder, codes)
 
     def inner(self, v: int) -> list[int]:
         """Fold codes that a view learns from."""
@@ -88,7 +94,15 @@ def category_probabilities(data: HybridData, questions: Sequence[str], strengths
     best by the accuracy over the view's folds, and the very fits of that
     search, each without a fold, give the probabilities of that fold's rows.
     """
-    spark = data.blocks.sparkSession
+    fits, chosen, owner, best = category_fits(data, questions, strengths)
+    of = data.blocks.sparkSession.createDataFrame(owner, "problem int, view int, question string")  # a row a problem
+    rows = data.entries.select("id", "fold", "columns", "vals")
+    found = sb.probabilities(rows, fits, chosen).join(F.broadcast(of), "problem")
+    return found.select("view", "id", "question", "prob"), best
+
+
+def category_fits(data: HybridData, questions: Sequence[str], strengths: Sequence[float]) -> tuple[sb.Fits, list[int], list[tuple[int, int, str]], dict[tuple[int, str], float]]:
+    """(all fits, the chosen problems, (problem, view, question) of these, strength of each (view, question))."""
     cells = [(v, q) for v in range(len(data.views)) for q in questions]
     problems: list[sb.Problem] = []
     tried: dict[tuple[int, str], list[tuple[int, int]]] = {}
@@ -110,10 +124,7 @@ def category_probabilities(data: HybridData, questions: Sequence[str], strengths
         best[cell] = strengths[i]
         chosen += range(*runs[i])
         owner += [(p, *cell) for p in range(*runs[i])]
-    of = spark.createDataFrame(owner, "problem int, view int, question string")  # a row a problem
-    rows = data.entries.select("id", "fold", "columns", "vals")
-    found = sb.probabilities(rows, fits, chosen).join(F.broadcast(of), "problem")
-    return found.select("view", "id", "question", "prob"), best
+    return fits, chosen, owner, best
 
 
 def answers(df: DataFrame, questions: Sequence[str]) -> DataFrame:
@@ -130,39 +141,33 @@ def build(df: DataFrame, k: int, folds: int, views: Views, num_cols: Sequence[st
     question among ``priors``); every multi-select question has a softmax block
     (strength chosen among ``strengths``).
     """
-    spark, views = df.sparkSession, [frozenset(v) for v in views]
+    views = [frozenset(v) for v in views]
     features = foldwise.fit_features(df, views, folds, num_cols, cate_cols, text_cols)
-    raw = stored(features.transform(df), "raw")
-    rows = stored(df.select("id", "y", "fold", F.explode(F.array(*[F.lit(v) for v in range(len(views))])).alias("view"))
-                  .where((F.col("fold") >= 0) | F.col("view").isin([v for v, out in enumerate(views) if not out]))
-                  .select("view", "id", "y", fold_code(folds)), "rows")
     prob, width = {}, features.width
     for q in [*nb_cols, *[q for q in cate_cols if q not in nb_cols]]:
         prob[q] = (width, width + k)
         width += k
-    parts = [raw]
+    mask, named = viewrows.column_masks(features)
+    impute = {v: {features.ranges[q][0]: features.impute[v, q] for q in num_cols} for v in range(len(views))}
+    encoder = viewrows.Encoder(views, folds, k, width, features.width, mask, impute)
+    # numbers, options and words are made once
+    made = stored(df.select("id", "y", "fold", *viewrows.answer_columns(features, nb_cols)), "answers")
+    counts = frequent = None
+    if nb_cols:
+        counts, frequent = viewrows.naive_bayes(encoder, made, nb_cols, [prob[q][0] for q in nb_cols], priors, folds, k)
+    frame = viewrows.store_rows(made, features, named, nb_cols, counts, frequent, folds, k)
     if nb_cols:
-        present = stored(answers(df, nb_cols), "answers")
-        scored = stored(foldwise.crossfit_nb(present, df.select("id", "y", "fold"), k, folds, views, priors), "posteriors")
-        parts.append(_long(foldwise.choose_prior(scored, views), prob))
+        encoder.prior = viewrows.choose_priors(encoder, frame)
     only = [q for q in cate_cols if q not in nb_cols]
     if only:
-        options = raw.where(reduce(or_, [F.col("feature").between(a, b - 1) for a, b in (features.ranges[q] for q in only)]))
-        entries = stored(sb.entry_rows(options, rows, ("view", "id")), "options")
-        small = HybridData(views, folds, k, features.ranges, {}, features.width, entries, sb.row_blocks(entries, scratch(spark, "blocks")))
-        parts.append(_long(category_probabilities(small, only, strengths)[0], prob))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    entries = stored(sb.entry_rows(every, rows, ("view", "id")), "entries")
-    return HybridData(views, folds, k, features.ranges, prob, width, entries, sb.row_blocks(entries, scratch(spark, "blocks")))
-
-
-def _long(found: DataFrame, prob: dict[str, tuple[int, int]]) -> DataFrame:
-    """(view, id, question, prob) -> (view, id, feature, value)."""
-    start = F.create_map(*[F.lit(x) for q, (a, _) in prob.items() for x in (q, a)])
-    each = found.select("view", "id", "question", F.posexplode("prob").alias("i", "value"))
-    return each.select("view", "id", (F.element_at(start, F.col("question")) + F.col("i")).cast("bigint").alias("feature"), "value")
+        plain = viewrows.Encoder(views, folds, k, features.width, features.width, mask, impute, questions=[*nb_cols])
+        small = HybridData(views, folds, k, features.ranges, {}, features.width, viewrows.entries(frame, plain), viewrows.expanded(frame, plain), plain)
+        fits, _, owner, _ = category_fits(small, only, strengths)
+        for p, v, q in owner:
+            a, b = features.ranges[q]
+            for code in fits.problems[p].test:
+                encoder.weights.setdefault((v, code % folds if code >= 0 else NO_FOLD), {})[prob[q][0]] = (a, b, fits.weights[p][:, a:b].T, fits.bias[p])
+    return HybridData(views, folds, k, features.ranges, prob, width, viewrows.entries(frame, encoder), viewrows.expanded(frame, encoder), encoder)
 
 
 # --- candidates -------------------------------------------------------------------
