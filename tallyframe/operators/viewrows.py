@@ -134,7 +134,7 @@ class Encoder:
         if key not in held:
             held[key] = self.odds(self.counts, self.question, v, fold, every)
         table = held[key]
-        out = _segments(table.reshape(len(table), -1)[rows.words], rows.lengths.ravel())
+        out = _segments(table.reshape(len(table), table.shape[1] * self.k)[rows.words], rows.lengths.ravel())
         if len(rows.counts):
             of = np.repeat(np.tile(np.arange(q), len(rows.y)), rows.rares.ravel())
             rare = self.odds(rows.counts, of, v, fold, every)
