@@ -33,6 +33,9 @@ WORDS = 50_000
 #: Columns up to which the shared columns are kept as dense rows in a task.
 NARROW = 2048
 
+#: Views whose bits share a number.
+BITS = 62
+
 _PARTS = {"y": np.int32, "fold": np.int32, "starts": np.int32, "columns": np.int32, "vals": np.float64, "id": np.int64,
           "lengths": np.int32, "words": np.int32, "rares": np.int32, "counts": np.int32}
 _SCHEMA = ", ".join(f"{c} binary" for c in _PARTS)
@@ -100,6 +103,7 @@ class Encoder:
     base: dict = field(default_factory=dict)
     prior: np.ndarray | None = None
     weights: dict = field(default_factory=dict)
+    bits: int = field(default_factory=lambda: BITS)
 
     def left(self, v: int, fold: int) -> frozenset[int]:
         return self.views[v] if fold == NO_FOLD else self.views[v] | {fold}
@@ -158,7 +162,7 @@ class Encoder:
     def under(self, rows: Stored, shared: tuple[np.ndarray, np.ndarray], v: int, held: dict) -> tuple[np.ndarray, np.ndarray]:
         """(columns, rows of one fold over these) under a view."""
         columns, x = shared
-        known = (self.mask[columns] >> v) & 1 == 1
+        known = (self.mask[columns, v // self.bits] >> (v % self.bits)) & 1 == 1
         x = x * known
         for j, value in self.impute[v].items():
             at = np.searchsorted(columns, j)
@@ -250,12 +254,13 @@ def entries(frame: DataFrame, encoder: Encoder, codes: Sequence[int] | None = No
 def column_masks(features: FoldFeatures) -> tuple[np.ndarray, DataFrame]:
     """(views, as bits, that know each column; (question, token, feature) of the columns)."""
     views = range(len(features.views))
-    mask = np.zeros(features.width, np.int64)
+    mask = np.zeros((features.width, len(views) // BITS + 1), np.int64)
     for q in features.num_cols:
-        mask[features.ranges[q][0]] = (1 << len(views)) - 1
+        mask[features.ranges[q][0]] = (1 << BITS) - 1
     named = stored(features.columns, "columns")
     if features.width > len(features.num_cols):
-        known = features.vocab.groupBy("block", "question", "token").agg(F.sum(F.expr("shiftleft(1L, view)")).alias("bits"))
+        known = features.vocab.groupBy("block", "question", "token").agg(F.array(*[
+            F.sum(F.when(F.floor(F.col("view") / BITS) == w, F.expr(f"shiftleft(1L, view % {BITS})")).otherwise(0)) for w in range(mask.shape[1])]).alias("bits"))
         for r in known.join(named, ["block", "question", "token"]).select("feature", "bits").toLocalIterator():  # a number by column
             mask[r["feature"]] = r["bits"]
     return mask, named

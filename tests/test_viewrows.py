@@ -29,6 +29,7 @@ def test_rare_words_and_columns_meet_their_rows_by_a_shuffle(rows, monkeypatch):
     views = hybrid.nested_views([frozenset()], FOLDS)
     want = listed(build(rows, views))
     monkeypatch.setattr(viewrows, "WORDS", 4)
+    monkeypatch.setattr(viewrows, "BITS", 3)  # views beyond one number's bits
     got = listed(build(rows, views))
     assert got.keys() == want.keys() and len(got) == 120 + 3 * rows.where("fold >= 0").count()
     for key, (y, fold, values) in want.items():
